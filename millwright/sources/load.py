@@ -45,12 +45,12 @@ def load_table(
     """
     prepared, dropped = prepare(source, table)
     seen = Observation(f"load_{table}")
-    staged = stage_write(prepared.observe(seen, F.count(F.lit(1)).alias("n_rows")), table, layer)
+    folder = stage_write(prepared.observe(seen, F.count(F.lit(1)).alias("n_rows")), table, layer)
     n_rows = seen.get["n_rows"]
     status = OK if expected is None or expected == n_rows else DIFFERS
     if strict and status != OK:
         raise RowCountMismatch(f"{table}: {n_rows} rows, expected {expected}")
-    stored = swap_in(source.sparkSession, staged, table, layer)
+    stored = swap_in(prepared, folder, table, layer)
     return stored, LoadReport(table, n_rows, tuple(dropped), expected, status)
 
 

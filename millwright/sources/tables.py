@@ -36,35 +36,57 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+SLOTS = ("slot_a", "slot_b")
+
+
+def _location(spark: SparkSession, name: str) -> str | None:
+    """Folder of a stored table, or None if there is no such table."""
+    if not spark.catalog.tableExists(name):
+        return None
+    found = spark.sql(f"DESCRIBE FORMATTED {name}").filter(F.col("col_name") == "Location")
+    return found.select("data_type").first()[0]
+
+
 def stage_write(
     df: DataFrame, table: str, layer: str = RAW, partition_by: Sequence[str] = ()
 ) -> str:
-    """Write beside the live table and return the name of the written one."""
+    """Write beside the live rows and return the folder.
+
+    A table has two folders and lives in one of them; a reload fills the other one, so
+    readers keep the old rows until the swap, and no data is moved or left behind.
+    """
     spark = df.sparkSession
     ensure_layer(spark, layer)
-    staged = layer_name(layer, f"{table}__new")
-    spark.sql(f"DROP TABLE IF EXISTS {staged}")
-    writer = df.write.mode("overwrite").format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(staged)
-    return staged
+    base = f"{spark.catalog.getDatabase(layer).locationUri}/{table}"
+    live = _location(spark, layer_name(layer, table)) or ""
+    slot = SLOTS[1] if live.endswith(SLOTS[0]) else SLOTS[0]
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{base}/{slot}")
+    return f"{base}/{slot}"
 
 
-def swap_in(spark: SparkSession, staged: str, table: str, layer: str = RAW) -> DataFrame:
-    """Put a staged table in place of the live one."""
+def swap_in(
+    df: DataFrame, folder: str, table: str, layer: str = RAW, partition_by: Sequence[str] = ()
+) -> DataFrame:
+    """Point the table at a written folder; ``df`` gives the column types."""
+    spark = df.sparkSession
     live = layer_name(layer, table)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    partitioning = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     spark.sql(f"DROP TABLE IF EXISTS {live}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {live}")
+    spark.sql(
+        f"CREATE TABLE {live} ({columns}) USING parquet{partitioning} LOCATION '{folder}'"
+    )
+    if partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {live}")
     return spark.table(live)
 
 
 def write_table(
     df: DataFrame, table: str, layer: str = RAW, partition_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Full reload. The old rows stay readable until the new ones are all written."""
-    staged = stage_write(df, table, layer, partition_by)
-    return swap_in(df.sparkSession, staged, table, layer)
+    """Full reload. A failed write leaves the old rows in place."""
+    folder = stage_write(df, table, layer, partition_by)
+    return swap_in(df, folder, table, layer, partition_by)
 
 
 def _by_month(df: DataFrame) -> DataFrame:
