@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from millwright.config import DEFAULTS, Settings
 from millwright.functions.calendar import date_spine_of
 from millwright.plans import intermediate, marts, staging
 from millwright.plans.reports import Marts
-from millwright.sources.tables import materialize, register_view, write_mart
+from millwright.sources.tables import materialize, register_view, replace_months, write_mart
 
 
 @dataclass(frozen=True)
@@ -52,12 +52,14 @@ def compose(
     spine: DataFrame | None = None,
     store: Keep = _lazy,
     view: Keep = _lazy,
+    recent: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Models:
     """Every model from the four raw tables.
 
     ``store`` is applied to each mart and ``view`` to each view-like model. With a
     ``store`` that writes, the deduplication exchange runs once: the daily aggregate
-    reads the stored event fact, which carries all columns it needs.
+    reads the stored event fact, which carries all columns it needs, or the part of it
+    that ``recent`` selects.
     Without a given ``spine`` the date dimension covers the months of the events.
     """
     events = view(staging.stg_events(raw.raw_fact), "stg_fact_events")
@@ -80,6 +82,8 @@ def compose(
         )
     dim_date = store(marts.dim_date_of(spine), "dim_date")
     source = fact_events if stored else classified
+    if recent is not None:
+        source = recent(source)
     daily = view(
         intermediate.daily_machine_product(source, targets), "int_daily_machine_product"
     )
@@ -110,13 +114,42 @@ def compose(
 MONTHLY = ("fact_machine_events", "fact_oee_daily")
 
 
+def _store_mart(df: DataFrame, name: str) -> DataFrame:
+    return write_mart(df, name, partition_by="year_month" if name in MONTHLY else None)
+
+
 def build_catalog(raw, settings: Settings = DEFAULTS, spine: DataFrame | None = None) -> Models:
     """Views for staging and intermediate, stored tables for the marts."""
+    return compose(raw, settings, spine, store=_store_mart, view=register_view)
 
-    def store(df: DataFrame, name: str) -> DataFrame:
-        return write_mart(df, name, partition_by="year_month" if name in MONTHLY else None)
 
-    return compose(raw, settings, spine, store=store, view=register_view)
+def refresh_months(
+    raw, first: dt.date, last: dt.date, settings: Settings = DEFAULTS
+) -> Models:
+    """Rebuild the months from ``first`` to ``last`` of stored marts, and the small marts.
+
+    The facts are replaced month by month, so a table far too large for one shuffle is
+    built as a series of bounded jobs, and a job that failed is simply run again. The
+    event fact is read back for the date dimension, the daily fact for the summaries.
+    """
+    start = first.replace(day=1)
+    end = (last.replace(day=1) + dt.timedelta(days=31)).replace(day=1)
+    days = [start + dt.timedelta(days=n) for n in range((end - start).days)]
+    months = sorted({f"{d:%Y-%m}" for d in days})
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        if name not in MONTHLY:
+            return _store_mart(df, name)
+        return replace_months(df, months, name)
+
+    part = replace(raw, raw_fact=in_days(raw.raw_fact, start, end - dt.timedelta(days=1)))
+    return compose(
+        part,
+        settings,
+        store=store,
+        view=register_view,
+        recent=lambda events: events.filter(F.col("year_month").isin(months)),
+    )
 
 
 def build_scratch(raw, settings: Settings = DEFAULTS, spine: DataFrame | None = None) -> Models:

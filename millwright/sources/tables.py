@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millwright.config import scratch_dir
@@ -112,13 +112,37 @@ def write_mart(
     return write_table(_by_month(df), table, layer, [partition_by])
 
 
-def replace_months(df: DataFrame, table: str, layer: str = MARTS) -> DataFrame:
-    """Overwrite only the months found in ``df`` of a stored, month-partitioned mart."""
+def replace_months(
+    df: DataFrame, months: Sequence[str], table: str, layer: str = MARTS
+) -> DataFrame:
+    """Overwrite some months of a stored, month-partitioned mart with the rows of ``df``.
+
+    The months are replaced when the write commits. A month that has no rows any more
+    becomes empty.
+    """
+    spark = df.sparkSession
     live = layer_name(layer, table)
-    rows = _by_month(df.select(*[c for c in df.sparkSession.table(live).columns if c != "year_month"]))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(live)
-    df.sparkSession.catalog.refreshTable(live)
-    return df.sparkSession.table(live)
+    if "year_month" not in df.columns:
+        df = df.withColumn("year_month", year_month("date_key"))
+    df = df.filter(F.col("year_month").isin(*months))
+    if not spark.catalog.tableExists(live):
+        return write_mart(df, table, layer, "year_month")
+    folder = _location(spark, live)
+    seen = Observation(f"months_{table}")
+    rows = _by_month(df.select(*spark.table(live).columns))
+    (
+        rows.observe(seen, F.collect_set("year_month").alias("months"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("year_month")
+        .parquet(folder)
+    )
+    nothing = rows.drop("year_month").filter(F.lit(False))
+    for month in sorted(set(months) - set(seen.get["months"])):
+        nothing.write.mode("overwrite").parquet(f"{folder}/year_month={month}")
+    spark.sql(f"MSCK REPAIR TABLE {live}")
+    spark.catalog.refreshTable(live)
+    return spark.table(live)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -480,9 +480,9 @@ STATEMENTS: dict[str, str] = {
     " CAST(sum(total_biscuits_made) AS DOUBLE)"
     " / nullif(CAST(sum(run_time_min) AS DOUBLE) / 60, 0) AS speed"
     " FROM fact_oee_daily GROUP BY product",
-    "d13_ordered_text": "SELECT machine, string_agg(day, ' · ' ORDER BY day) AS days FROM"
-    " (SELECT DISTINCT machine, CAST(date_key AS VARCHAR) AS day FROM fact_oee_daily"
-    " WHERE performance >= 1) GROUP BY machine",
+    "d13_ordered_text": "SELECT machine, string_agg(oee_status_group, ' · ' ORDER BY oee_status_group)"
+    " AS groups FROM (SELECT DISTINCT machine, oee_status_group FROM fact_machine_events)"
+    " GROUP BY machine",
     "d14_count": "SELECT count(*) AS n_rows FROM fact_machine_events",
     "d15_repeated_keys": f"SELECT {EVENT_KEY}, count(*) AS n_rows FROM trimmed"
     " GROUP BY ALL HAVING count(*) > 1",

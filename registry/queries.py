@@ -452,12 +452,12 @@ def _(p):
 
 @query("d13_ordered_text")
 def _(p):
-    """Days a machine made its target, as one ordered text."""
-    days = p.fact.filter(F.col("performance") >= 1.0).select(
-        "machine", F.col("date_key").cast("string").alias("day")
-    ).distinct()
-    return days.groupBy("machine").agg(
-        F.expr("listagg(day, ' · ') within group (order by day)").alias("days")
+    """The status groups seen on a machine, at most five, as one ordered text."""
+    seen = p.events.select("machine", "oee_status_group").distinct()
+    return seen.groupBy("machine").agg(
+        F.expr(
+            "listagg(oee_status_group, ' · ') within group (order by oee_status_group)"
+        ).alias("groups")
     )
 
 
@@ -606,8 +606,8 @@ def _(p):
 class Corrupted:
     """The models with defects put in, so that checks have something to find."""
 
-    def __init__(self, p: Plant):
-        self.models = build.build_scratch(p.raw)
+    def __init__(self, models: build.Models):
+        self.models = models
         staged = self.models.stg_fact_events
         self.staged = staged.withColumn(
             "product", F.when(F.col("duration_minutes") <= 500, F.col("product"))
@@ -639,12 +639,12 @@ class Corrupted:
 
 @query("k1_not_null")
 def _(p):
-    return checks.check_not_null(Corrupted(p).staged, "product")
+    return checks.check_not_null(Corrupted(p.models).staged, "product")
 
 
 @query("k2_unique")
 def _(p):
-    return checks.check_unique(Corrupted(p).products, "product_name")
+    return checks.check_unique(Corrupted(p.models).products, "product_name")
 
 
 @query("k2_unique_composite")
@@ -655,24 +655,24 @@ def _(p):
 @query("k3_accepted_values")
 def _(p):
     return checks.check_accepted_values(
-        Corrupted(p).classified, "oee_status_group", checks.STATUS_GROUPS
+        Corrupted(p.models).classified, "oee_status_group", checks.STATUS_GROUPS
     )
 
 
 @query("k4_relationships")
 def _(p):
-    bad = Corrupted(p)
+    bad = Corrupted(p.models)
     return checks.check_relationships(bad.fact, "machine_key", bad.models.dim_machine)
 
 
 @query("k5_accepted_range")
 def _(p):
-    return checks.check_accepted_range(Corrupted(p).staged, "duration_minutes", 0)
+    return checks.check_accepted_range(Corrupted(p.models).staged, "duration_minutes", 0)
 
 
 @query("k6_expression_is_true")
 def _(p):
-    return checks.check_expression(Corrupted(p).fact, "oee <= 1").select(*DAILY_KEY, "oee")
+    return checks.check_expression(Corrupted(p.models).fact, "oee <= 1").select(*DAILY_KEY, "oee")
 
 
 @query("k7_run_suite")
@@ -682,7 +682,7 @@ def _(p):
 
 @query("k7_run_suite_corrupted")
 def _(p):
-    return checks.run_suite(Corrupted(p).tables())
+    return checks.run_suite(Corrupted(build.build_scratch(p.raw)).tables())
 
 
 @query("k7_extra_keys")
