@@ -7,6 +7,7 @@ are written against the meaning of each model, not generated from the Spark code
 from __future__ import annotations
 
 from registry import oracle_checks
+from registry.queries import LINES, OVER_LINES
 
 JUNK_KEY = "_dbt_utils_surrogate_key_null_"
 
@@ -196,6 +197,31 @@ def whatif(share: str) -> str:
 
 
 MONTH = "strftime(date_key, '%Y-%m')"
+LINE_CTES = {
+    "readings": """
+        SELECT *, l_shipdate + to_minutes((l_orderkey * 31 + l_linenumber * 7) % 1440) AS ts,
+               CAST(CAST(l_quantity AS DECIMAL(18,2)) * (l_linenumber * l_linenumber) * 0.6
+                    AS DECIMAL(18,6)) AS duration
+        FROM lineitem, (VALUES (0), (1)) copies(copy)
+        WHERE copy = 0 OR l_discount = 0.1""",
+    "raw_fact": """
+        SELECT concat('Machine ', l_suppkey, ' ') AS machine, ts AS startdatetime,
+               ts + to_microseconds(CAST(duration * 60000000 AS BIGINT)) AS enddatetime, duration,
+               CAST(floor(l_extendedprice) AS BIGINT) + copy AS totalbiscuitsmade,
+               CAST(floor(l_extendedprice * (1 - l_discount + l_tax)) AS BIGINT)
+                 AS goodmadebiscuits,
+               CASE l_linenumber WHEN 1 THEN 'run time' WHEN 2 THEN 'Run Time ' WHEN 3 THEN 'cc'
+                    WHEN 4 THEN 'PM check' WHEN 5 THEN 'No Order' WHEN 6 THEN 'RUN TIME x' END
+                 AS oee_category,
+               concat(' Product ', l_partkey) AS product
+        FROM readings""",
+    "raw_target_speeds": """
+        SELECT concat('Machine ', l_suppkey, ' ') AS machine,
+               concat(' Product ', l_partkey) AS product,
+               CAST(max(l_quantity) * 400 AS DECIMAL(18,6)) AS target_biscuits_per_hour
+        FROM lineitem GROUP BY l_suppkey, l_partkey HAVING max(l_tax) >= 0.03""",
+}
+
 CTES["mart_oee_monthly_summary"] = summary(MONTH, "GROUP BY ALL")
 CTES["mart_whatif_pm_reduction"] = whatif("0.15")
 
@@ -549,8 +575,8 @@ STATEMENTS: dict[str, str] = {
         FROM (SELECT count(*) AS raw_rows FROM raw_fact),
              (SELECT count(*) AS event_rows,
                      count(*) FILTER (duration_minutes > 1440) AS outlier_rows,
-                     count(*) FILTER (oee_category_raw = '0') AS unknown_rows,
-                     count(*) FILTER (oee_category_raw = 'NO (No Order)') AS no_order_rows,
+                     count(*) FILTER (oee_category_raw IS NULL OR oee_category_raw = '0') AS unknown_rows,
+                     count(*) FILTER (lower(oee_category_raw) LIKE 'no%') AS no_order_rows,
                      count(*) FILTER (good_biscuits_made > total_biscuits_made)
                        AS good_above_total_rows FROM stg_fact_events),
              (SELECT count(*) AS day_groups,
@@ -558,6 +584,11 @@ STATEMENTS: dict[str, str] = {
 }
 
 
+def _with(models: dict[str, str], text: str) -> str:
+    prefix = ",\n".join(f"{name} AS ({body})" for name, body in models.items())
+    return f"WITH {prefix}\n{text}"
+
+
 def statements() -> dict[str, str]:
     body = dict(STATEMENTS)
     for number, (key, (text, predicate)) in enumerate(REPORTS.items(), start=1):
@@ -565,5 +596,8 @@ def statements() -> dict[str, str]:
         body[f"q{number}_{key}_filtered"] = text.replace("{where}", predicate)
     body |= oracle_checks.statements()
     models = CTES | oracle_checks.CORRUPTED
-    prefix = "WITH " + ",\n".join(f"{name} AS ({text})" for name, text in models.items())
-    return {key: f"{prefix}\n{text}" for key, text in body.items()}
+    over_events = {key: _with(models, text) for key, text in body.items()}
+    over_lines = {
+        key + LINES: _with(models | LINE_CTES, body[key]) for key in OVER_LINES
+    }
+    return over_events | over_lines

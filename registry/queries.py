@@ -55,9 +55,9 @@ def plain(df: DataFrame) -> DataFrame:
 class Plant:
     """The raw tables of one folder and the models composed from them."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, raw_tables=fixtures.raw_tables):
         self.spark = spark
-        self.raw = fixtures.raw_tables(spark, sf_dir)
+        self.raw = raw_tables(spark, sf_dir)
 
     @cached_property
     def models(self) -> build.Models:
@@ -711,5 +711,24 @@ for _number, (_key, _spec) in enumerate(reports.REPORTS.items(), start=1):
     )
 
 
+# --- the same over order lines -----------------------------------------------------
+
+LINES = "_lines"
+OVER_LINES = (
+    "c1_join_targets", "c8_orphans", "d1_day_sums", "d15_repeated_keys", "e1_dedup_events",
+    "g3_dim_date", "g6_fact_machine_events", "g7_fact_oee_daily", "g8_monthly_summary",
+    "g9_whatif_pm", "k7_run_suite", "k8_quality_profile", "q1_kpi_oee", "q6_oee_trend",
+    "q7_oee_dow", "q8_oee_machine", "q11_stability", "q13_downtime_cat", "q14_minor_major",
+    "q17_waste_product", "q18_perf_gap", "q19_speed_machine", "q20_whatif_table",
+)
+
+
+def keys() -> list[str]:
+    return [*QUERIES, *(key + LINES for key in OVER_LINES)]
+
+
 def run(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
+    if key.endswith(LINES):
+        plant = Plant(spark, sf_dir, fixtures.line_tables)
+        return plain(QUERIES[key.removesuffix(LINES)](plant))
     return plain(QUERIES[key](Plant(spark, sf_dir)))
