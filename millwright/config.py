@@ -61,6 +61,24 @@ def scratch_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def cluster_settings(input_bytes: int) -> dict[str, str]:
+    """Runtime settings that size shuffles for an input; apply with ``spark.conf.set``.
+
+    Adaptive execution joins small partitions and splits skewed ones, so the start may be
+    generous: one partition per 200 MB. Past the upper bound the blocks of a shuffle become
+    too many; build such inputs in months (``plans.build.refresh_months``).
+    """
+    partitions = min(max(input_bytes // (200 * 2**20), 200), 50_000)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+        "spark.sql.files.maxPartitionBytes": "256MB",
+    }
+
+
 def local_session(cpus: str = "8", **extra: str) -> SparkSession:
     """Session for tests and benches on one machine; a cluster brings its own."""
     builder = (

@@ -35,6 +35,19 @@ def rounded(value: str | Column, digits: int) -> Column:
     return F.round(col(value).cast(ROUNDING), digits).cast("double")
 
 
+def whole(value: str | Column, given: str) -> Column:
+    """A counter of type ``given`` as a long: fractions are rounded, halves to even.
+
+    A NaN, which is how a missing value of a floating column arrives, becomes NULL.
+    """
+    counter = col(value)
+    if given in ("float", "double"):
+        counter = F.when(~F.isnan(counter), F.rint(counter))
+    elif given == "string" or given.startswith("decimal"):
+        counter = F.bround(counter.cast("decimal(38,6)"), 0)
+    return counter.cast("bigint")
+
+
 def pct(value: str | Column, digits: int) -> Column:
     """Mean of a 0..1 column as a rounded percentage."""
     return rounded(F.avg(col(value)) * 100, digits)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millwright.functions.numeric import whole
 from millwright.operators.dedup import dedup_events
 from millwright.schemas import MINUTES
 
@@ -18,13 +19,14 @@ def _typed(name: str, kind, alias: str | None = None) -> Column:
 
 
 def trim_events(raw_fact: DataFrame) -> DataFrame:
+    given = dict(raw_fact.dtypes)
     return raw_fact.select(
         _text("machine"),
         _typed("startdatetime", "timestamp_ntz", "start_datetime"),
         _typed("enddatetime", "timestamp_ntz", "end_datetime"),
         _typed("duration", MINUTES, "duration_minutes"),
-        _typed("totalbiscuitsmade", "bigint", "total_biscuits_made"),
-        _typed("goodmadebiscuits", "bigint", "good_biscuits_made"),
+        whole("totalbiscuitsmade", given["totalbiscuitsmade"]).alias("total_biscuits_made"),
+        whole("goodmadebiscuits", given["goodmadebiscuits"]).alias("good_biscuits_made"),
         _text("oee_category", "oee_category_raw"),
         _text("product"),
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millwright import schemas
+from millwright.functions.numeric import whole
 
 TIMESTAMP_COLUMNS = ("startdatetime", "enddatetime")
 # fixed value: the source carries a misspelt copy of the pallet column
@@ -44,18 +45,16 @@ def drop_by_prefix(df: DataFrame, prefix: str = MISSPELT_PREFIX) -> tuple[DataFr
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Pick the declared columns by name and cast them.
-
-    A fractional counter given as text or floating point is rounded, not cut.
-    """
+    """Pick the declared columns by name and cast them."""
     given = dict(df.dtypes)
-    columns = []
-    for field in schema:
-        value = F.col(field.name)
-        if isinstance(field.dataType, T.LongType) and given[field.name] not in ("bigint", "int"):
-            value = F.round(value.cast("decimal(38,6)"), 0)
-        columns.append(value.cast(field.dataType).alias(field.name))
-    return df.select(*columns)
+    return df.select(*[
+        (
+            whole(f.name, given[f.name])
+            if isinstance(f.dataType, T.LongType)
+            else F.col(f.name).cast(f.dataType)
+        ).alias(f.name)
+        for f in schema
+    ])
 
 
 def prepare(df: DataFrame, name: str) -> tuple[DataFrame, list[str]]:

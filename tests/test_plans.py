@@ -97,6 +97,26 @@ def test_big_lookups_are_not_broadcast_and_give_the_same_rows(spark, raw):
         assert rows_of(fact) == small
 
 
+def test_hot_machine_is_split_where_the_lookup_is_not_broadcast(spark):
+    """A third of the events is of one machine; adaptive execution splits its partition."""
+    rows = spark.range(60000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("m"), F.col("id"))).alias("machine"),
+        F.md5(F.col("id").cast("string")).alias("payload"),
+    ).repartition(8)
+    machines = spark.createDataFrame([("hot", "k1"), ("m1", "k2")], "machine_name string, machine_key string")
+    with conf(spark, **{
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }):
+        joined = lookup_join(rows, machines, {"machine": "machine_name"})
+        counted = joined.agg(F.count("*"), F.count("machine_key"), F.max("payload"))
+        assert tuple(counted.collect()[0])[:2] == (60000, 20001)
+        assert "skew=true" in plan(counted)
+
+
 @pytest.mark.parametrize("partitions", ["1", "3", "17"])
 def test_partitioning_does_not_change_results(spark, raw, partitions):
     expected = rows_of(build.compose(raw).fact_oee_daily)
