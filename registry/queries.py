@@ -32,7 +32,7 @@ from millwright.schemas import EVENT_KEY
 from millwright.sources import load, raw, tables
 
 AS_OF = dt.datetime(2024, 2, 1)
-EXPECTED_EVENTS = 8044
+EXPECTED = {"raw_fact": 8044, "raw_target_speeds": 72, "raw_product": 18, "raw_machine": 10}
 JANUARY = (dt.date(2024, 1, 8), dt.date(2024, 1, 21))
 MACHINE = "Machine 3"
 PRODUCT = "Product 5"
@@ -164,8 +164,7 @@ def _(p):
 
 @query("a6_reconcile")
 def _(p):
-    expected = {"raw_fact": EXPECTED_EVENTS}
-    parts = [load.reconcile(df, name, expected.get(name)) for name, df in p.raw.items()]
+    parts = [load.reconcile(df, name, EXPECTED[name]) for name, df in p.raw.items()]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -89,6 +89,12 @@ def test_load_counts_in_the_write(spark):
     assert (report.n_rows, report.status) == (1, load.DIFFERS)
 
 
+def test_reconcile(spark):
+    rows = machines(spark, "M1", "M2")
+    found = [load.reconcile(rows, "t", n).first().status for n in (None, 2, 3)]
+    assert found == [load.OK, load.OK, load.DIFFERS]
+
+
 def test_strict_load_keeps_the_old_table(spark):
     load.load_table(machines(spark, "M1", "M2"), "raw_machine", "raw_strict")
     with pytest.raises(load.RowCountMismatch):
