@@ -57,7 +57,7 @@ def main() -> None:
 
         def all_reports():
             for key in reports.REPORTS:
-                drain(reports.report(key, stored.marts()))
+                drain(reports.report(key, stored))
 
         seconds[f"reports_22_stored_{name}"] = best(all_reports)
         seconds[f"checks_72_stored_{name}"] = best(lambda: drain(checks.run_suite(stored.tables())))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass, fields, replace
+from dataclasses import replace
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,103 +13,132 @@ from pyspark.sql import functions as F
 from millwright.config import DEFAULTS, Settings
 from millwright.functions.calendar import date_spine_of
 from millwright.plans import intermediate, marts, staging
-from millwright.plans.reports import Marts
 from millwright.sources.tables import materialize, register_view, replace_months, write_mart
 
 
-@dataclass(frozen=True)
-class Models:
-    stg_fact_events: DataFrame
-    stg_target_speeds: DataFrame
-    stg_product: DataFrame
-    stg_machine: DataFrame
-    int_events_classified: DataFrame
-    int_daily_machine_product: DataFrame
-    dim_machine: DataFrame
-    dim_product: DataFrame
-    dim_date: DataFrame
-    fact_machine_events: DataFrame
-    fact_oee_daily: DataFrame
-    mart_oee_monthly_summary: DataFrame
-    mart_whatif_pm_reduction: DataFrame
+Keep = Callable[[DataFrame, str], DataFrame]
 
-    def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
 
-    def marts(self) -> Marts:
-        return Marts(self.fact_oee_daily, self.fact_machine_events, self.mart_whatif_pm_reduction)
+def _lazy(df: DataFrame, name: str) -> DataFrame:
+    return df
 
 
-Keep = Callable[[DataFrame, str], DataFrame]
+def _model(keep: str):
+    """A method that builds one model: kept by ``store`` or ``view``, and only once."""
 
+    def decorate(build: Callable[[Models], DataFrame]) -> cached_property:
+        return cached_property(lambda self: getattr(self, keep)(build(self), build.__name__))
 
-def _lazy(df: DataFrame, name: str) -> DataFrame:
-    return df
+    return decorate
 
 
-def compose(
-    raw,
-    settings: Settings = DEFAULTS,
-    spine: DataFrame | None = None,
-    store: Keep = _lazy,
-    view: Keep = _lazy,
-    recent: Callable[[DataFrame], DataFrame] | None = None,
-) -> Models:
-    """Every model from the four raw tables.
+class Models:
+    """The 13 models of one plant, each composed when it is first asked for.
 
     ``store`` is applied to each mart and ``view`` to each view-like model. With a
     ``store`` that writes, the deduplication exchange runs once: the daily aggregate
     reads the stored event fact, which carries all columns it needs, or the part of it
-    that ``recent`` selects.
-    Without a given ``spine`` the date dimension covers the months of the events.
+    that ``recent`` selects. Without a given ``spine`` the date dimension covers the
+    months of the events.
     """
-    events = view(staging.stg_events(raw.raw_fact), "stg_fact_events")
-    targets = view(staging.stg_target_speeds(raw.raw_target_speeds), "stg_target_speeds")
-    products = view(staging.stg_product(raw.raw_product), "stg_product")
-    machines = view(staging.stg_machine(raw.raw_machine), "stg_machine")
-    classified = view(intermediate.events_classified(events, settings), "int_events_classified")
-
-    dim_machine = store(marts.dim_machine(machines), "dim_machine")
-    dim_product = store(marts.dim_product(products), "dim_product")
-    fact_events = store(
-        marts.fact_machine_events(classified, dim_machine, dim_product), "fact_machine_events"
+
+    NAMES = (
+        "stg_fact_events", "stg_target_speeds", "stg_product", "stg_machine",
+        "int_events_classified", "int_daily_machine_product",
+        "dim_machine", "dim_product", "dim_date", "fact_machine_events", "fact_oee_daily",
+        "mart_oee_monthly_summary", "mart_whatif_pm_reduction",
     )
-    stored = store is not _lazy
-    if spine is None:
-        spine = (
-            date_spine_of(fact_events, "date_key")
-            if stored
-            else date_spine_of(raw.raw_fact, F.to_date("startdatetime"))
+
+    def __init__(
+        self,
+        raw,
+        settings: Settings = DEFAULTS,
+        spine: DataFrame | None = None,
+        store: Keep = _lazy,
+        view: Keep = _lazy,
+        recent: Callable[[DataFrame], DataFrame] | None = None,
+    ):
+        self.raw = raw
+        self.settings = settings
+        self.spine = spine
+        self.store = store
+        self.view = view
+        self.recent = recent or (lambda events: events)
+
+    @_model("view")
+    def stg_fact_events(self):
+        return staging.stg_events(self.raw.raw_fact)
+
+    @_model("view")
+    def stg_target_speeds(self):
+        return staging.stg_target_speeds(self.raw.raw_target_speeds)
+
+    @_model("view")
+    def stg_product(self):
+        return staging.stg_product(self.raw.raw_product)
+
+    @_model("view")
+    def stg_machine(self):
+        return staging.stg_machine(self.raw.raw_machine)
+
+    @_model("view")
+    def int_events_classified(self):
+        return intermediate.events_classified(self.stg_fact_events, self.settings)
+
+    @_model("view")
+    def int_daily_machine_product(self):
+        events = self.int_events_classified if self._is_lazy else self.fact_machine_events
+        return intermediate.daily_machine_product(self.recent(events), self.stg_target_speeds)
+
+    @_model("store")
+    def dim_machine(self):
+        return marts.dim_machine(self.stg_machine)
+
+    @_model("store")
+    def dim_product(self):
+        return marts.dim_product(self.stg_product)
+
+    @_model("store")
+    def dim_date(self):
+        if self.spine is not None:
+            spine = self.spine
+        elif self._is_lazy:
+            spine = date_spine_of(self.raw.raw_fact, F.to_date("startdatetime"))
+        else:
+            spine = date_spine_of(self.fact_machine_events, "date_key")
+        return marts.dim_date_of(spine)
+
+    @_model("store")
+    def fact_machine_events(self):
+        return marts.fact_machine_events(
+            self.int_events_classified, self.dim_machine, self.dim_product
         )
-    dim_date = store(marts.dim_date_of(spine), "dim_date")
-    source = fact_events if stored else classified
-    if recent is not None:
-        source = recent(source)
-    daily = view(
-        intermediate.daily_machine_product(source, targets), "int_daily_machine_product"
-    )
-    fact_daily = store(
-        marts.fact_oee_daily(daily, dim_machine, dim_product, dim_date), "fact_oee_daily"
-    )
-    return Models(
-        stg_fact_events=events,
-        stg_target_speeds=targets,
-        stg_product=products,
-        stg_machine=machines,
-        int_events_classified=classified,
-        int_daily_machine_product=daily,
-        dim_machine=dim_machine,
-        dim_product=dim_product,
-        dim_date=dim_date,
-        fact_machine_events=fact_events,
-        fact_oee_daily=fact_daily,
-        mart_oee_monthly_summary=store(
-            marts.monthly_summary(fact_daily), "mart_oee_monthly_summary"
-        ),
-        mart_whatif_pm_reduction=store(
-            marts.whatif_pm(fact_daily, settings.pm_reduction), "mart_whatif_pm_reduction"
-        ),
-    )
+
+    @_model("store")
+    def fact_oee_daily(self):
+        return marts.fact_oee_daily(
+            self.int_daily_machine_product, self.dim_machine, self.dim_product, self.dim_date
+        )
+
+    @_model("store")
+    def mart_oee_monthly_summary(self):
+        return marts.monthly_summary(self.fact_oee_daily)
+
+    @_model("store")
+    def mart_whatif_pm_reduction(self):
+        return marts.whatif_pm(self.fact_oee_daily, self.settings.pm_reduction)
+
+    @property
+    def _is_lazy(self) -> bool:
+        return self.store is _lazy
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {name: getattr(self, name) for name in self.NAMES}
+
+
+def compose(raw, settings: Settings = DEFAULTS, spine: DataFrame | None = None) -> Models:
+    """Every model as a lazy DataFrame over the raw tables."""
+    return Models(raw, settings, spine)
 
 
 MONTHLY = ("fact_machine_events", "fact_oee_daily")
@@ -120,7 +150,9 @@ def _store_mart(df: DataFrame, name: str) -> DataFrame:
 
 def build_catalog(raw, settings: Settings = DEFAULTS, spine: DataFrame | None = None) -> Models:
     """Views for staging and intermediate, stored tables for the marts."""
-    return compose(raw, settings, spine, store=_store_mart, view=register_view)
+    models = Models(raw, settings, spine, store=_store_mart, view=register_view)
+    models.tables()
+    return models
 
 
 def refresh_months(
@@ -143,18 +175,22 @@ def refresh_months(
         return replace_months(df, months, name)
 
     part = replace(raw, raw_fact=in_days(raw.raw_fact, start, end - dt.timedelta(days=1)))
-    return compose(
+    models = Models(
         part,
         settings,
         store=store,
         view=register_view,
         recent=lambda events: events.filter(F.col("year_month").isin(months)),
     )
+    models.tables()
+    return models
 
 
 def build_scratch(raw, settings: Settings = DEFAULTS, spine: DataFrame | None = None) -> Models:
     """Marts written once to the shared scratch folder, for one run over many of them."""
-    return compose(raw, settings, spine, store=materialize)
+    models = Models(raw, settings, spine, store=materialize)
+    models.tables()
+    return models
 
 
 def in_days(raw_fact: DataFrame, first: dt.date, last: dt.date) -> DataFrame:

@@ -31,9 +31,12 @@ def classify_stoppage(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame
 
 def events_classified(staged: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Staged events with group, stop class and both quality flags."""
-    for step in (classify_status, flag_outlier, flag_unknown, classify_stoppage):
-        staged = step(staged, settings)
-    return staged
+    flagged = staged.withColumns({
+        "oee_status_group": status.status_group(settings=settings),
+        "is_duration_outlier": status.duration_outlier(settings=settings),
+        "is_unknown_category": status.unknown_category(settings=settings),
+    })
+    return classify_stoppage(flagged, settings)
 
 
 def exclude_outliers(classified: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, replace
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,9 +27,8 @@ from millwright.operators.joins import lookup_join
 from millwright.operators.ranking import ranked, top_per_group
 
 
-@dataclass(frozen=True)
-class Marts:
-    """The stored tables the reports read."""
+class Marts(Protocol):
+    """What the reports read: three of the models."""
 
     fact_oee_daily: DataFrame
     fact_machine_events: DataFrame

@@ -318,7 +318,7 @@ def _(p):
 
 @query("b20_drill_day")
 def _(p):
-    return reports.report("stability", p.models.marts(), reports.drill_day(DRILL_DAY))
+    return reports.report("stability", p.models, reports.drill_day(DRILL_DAY))
 
 
 # --- joins -------------------------------------------------------------------------
@@ -700,7 +700,7 @@ ALL_FILTERS = reports.Filters(JANUARY, MACHINE, PRODUCT)
 
 
 def _report(p: Plant, key: str, filters: reports.Filters) -> DataFrame:
-    return reports.report(key, p.models.marts(), filters)
+    return reports.report(key, p.models, filters)
 
 
 for _number, (_key, _spec) in enumerate(reports.REPORTS.items(), start=1):

@@ -51,7 +51,7 @@ def test_daily_fact_exchanges_events_once(raw):
 
 def test_no_query_uses_python_or_a_cross_join(raw):
     models = build.compose(raw)
-    frames = [*models.tables().values(), *(reports.report(k, models.marts()) for k in reports.REPORTS)]
+    frames = [*models.tables().values(), *(reports.report(k, models) for k in reports.REPORTS)]
     for df in frames:
         text = plan(df)
         assert not re.search(r"Python|Pandas|CartesianProduct|NestedLoop", text)
@@ -77,7 +77,7 @@ def test_outlier_filter_stays_above_the_dedup(raw):
 
 
 def test_reports_read_only_their_columns(spark, raw):
-    stored = build.build_scratch(raw).marts()
+    stored = build.build_scratch(raw)
     text = plan(reports.report("oee_trend", stored, reports.Filters(
         (dt.date(2024, 1, 1), dt.date(2024, 1, 3)))))
     assert "ReadSchema: struct<date_key:date,oee:double>" in text

@@ -31,7 +31,7 @@ def plant(spark):
     rows.append(event(JUNK, 2000, machine="M1", start=START + 5 * HOUR))
     raw = raw_tables(spark, rows, [("M1", "P1", 200), ("M2", "P1", 50)],
                      products=("P1", "P2"), machines=("M1", "M2", "M3"))
-    return build_scratch(raw).marts()
+    return build_scratch(raw)
 
 
 def test_every_report_has_rows_and_a_key_order(plant):
@@ -76,30 +76,30 @@ def test_reasons_ignore_page_filters(plant):
 def test_null_category_takes_a_rank_but_no_text(spark):
     rows = [event(None, 600), event(CC, 60, start=START + HOUR), event(PM, 30, start=START + 2 * HOUR),
             event(NO, 6, start=START + 3 * HOUR)]
-    marts_ = compose(raw_tables(spark, rows)).marts()
+    marts_ = compose(raw_tables(spark, rows))
     (row,) = report("oee_machine", marts_).collect()
     assert row.main_stop_reasons == "CC (Changeover Cleaning): 1.0h · PM (Maintenance): 0.5h"
 
 
 def test_machine_that_only_ran_has_no_reasons(spark):
-    (row,) = report("oee_machine", compose(raw_tables(spark, [event()])).marts()).collect()
+    (row,) = report("oee_machine", compose(raw_tables(spark, [event()]))).collect()
     assert row.main_stop_reasons is None
 
 
 def test_equal_machines_are_ordered_by_name(spark):
     rows = [event(machine=m) for m in ("M3", "M1", "M2")]
-    marts_ = compose(raw_tables(spark, rows)).marts()
+    marts_ = compose(raw_tables(spark, rows))
     assert [r.machine for r in report("stability", marts_).collect()] == ["M1", "M2", "M3"]
     assert report("worst_machine", marts_).first().machine == "M1"
 
 
 def test_one_day_has_no_deviation(spark):
-    assert report("stability", compose(raw_tables(spark, [event()])).marts()).first().oee_stddev_pct is None
+    assert report("stability", compose(raw_tables(spark, [event()]))).first().oee_stddev_pct is None
 
 
 def test_null_speed_sorts_last_and_null_gain_first(spark):
     rows = [event(PM, 60, machine="M1"), event(RUN, 60, machine="M2")]
-    marts_ = compose(raw_tables(spark, rows)).marts()
+    marts_ = compose(raw_tables(spark, rows))
     assert [r.machine for r in report("speed_machine", marts_).collect()] == ["M2", "M1"]
     assert [r.machine for r in report("whatif_products", marts_).collect()] == ["M1", "M2"]
 
@@ -107,7 +107,7 @@ def test_null_speed_sorts_last_and_null_gain_first(spark):
 def test_display_rounding_is_half_away_from_zero(spark):
     # 1/32 of 100 % = 3.125 %; gap 3.125 - 85 = -81.875
     rows = [event(RUN, 60, total=32, good=1)]
-    marts_ = compose(raw_tables(spark, rows)).marts()
+    marts_ = compose(raw_tables(spark, rows))
     assert report("kpi_oee", marts_).first().oee_pct == 3.13
     assert report("kpi_worldclass", marts_).first().gap_points == -81.88
 
@@ -115,7 +115,7 @@ def test_display_rounding_is_half_away_from_zero(spark):
 def test_gap_report_keeps_twenty_rows(spark):
     products = [f"P{n:02d}" for n in range(25)]
     rows = [event(product=p) for p in products]
-    marts_ = compose(raw_tables(spark, rows, products=products)).marts()
+    marts_ = compose(raw_tables(spark, rows, products=products))
     assert [r["product"] for r in report("perf_gap", marts_).collect()] == products[:20]
 
 
@@ -160,6 +160,6 @@ def test_drill_day(plant):
 def test_hours_are_rounded_once(spark):
     # 2.999999 min = 0.04999998 h stays 0.0
     rows = [event(CC, Decimal("2.999999")), event(PM, 3, start=START + HOUR)]
-    marts_ = compose(raw_tables(spark, rows)).marts()
+    marts_ = compose(raw_tables(spark, rows))
     hours = {r.oee_category_raw: r.hours for r in report("downtime_cat", marts_).collect()}
     assert hours == {CC: 0.0, PM: 0.1}
