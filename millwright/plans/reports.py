@@ -51,9 +51,12 @@ class Filters:
 
 
 def apply_filters(df: DataFrame, filters: Filters) -> DataFrame:
+    """Add the given predicates; a table stored by month is also pruned by month."""
     if filters.date_range is not None:
         first, last = filters.date_range
         df = df.filter(F.col("date_key").between(F.lit(first), F.lit(last)))
+        if "year_month" in df.columns:
+            df = df.filter(F.col("year_month").between(f"{first:%Y-%m}", f"{last:%Y-%m}"))
     for name in ("machine", "product"):
         wanted = getattr(filters, name)
         if wanted is not None:

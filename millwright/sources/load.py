@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from millwright.config import DEFAULTS
 from millwright.sources.raw import prepare, read_source
-from millwright.sources.tables import RAW, stage_write, swap_in
+from millwright.sources.tables import RAW, days_together, stage_write, swap_in
 
 OK = "OK"
 DIFFERS = "DIFFERS"
@@ -37,13 +37,18 @@ def load_table(
     layer: str = RAW,
     expected: int | None = None,
     strict: bool = False,
+    by_day: str | None = None,
 ) -> tuple[DataFrame, LoadReport]:
     """Prepare an extract and reload its raw table.
 
     Rows are counted in the write itself. A strict load raises on a mismatch before the
-    old table is replaced; otherwise the mismatch is only reported.
+    old table is replaced; otherwise the mismatch is only reported. ``by_day`` names a
+    timestamp to store the rows by, for extracts that do not come in time order: later
+    builds of some months then skip the files of all others.
     """
     prepared, dropped = prepare(source, table)
+    if by_day is not None:
+        prepared = days_together(prepared, F.to_date(by_day), by_day)
     seen = Observation(f"load_{table}")
     folder = stage_write(prepared.observe(seen, F.count(F.lit(1)).alias("n_rows")), table, layer)
     n_rows = seen.get["n_rows"]

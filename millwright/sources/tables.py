@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millwright.config import scratch_dir
@@ -89,18 +89,24 @@ def write_table(
     return swap_in(df, folder, table, layer, partition_by)
 
 
-def _by_month(df: DataFrame) -> DataFrame:
-    """Month column last, days kept together, rows sorted for the filters of the reports.
+def days_together(df: DataFrame, day: Column, *order: str) -> DataFrame:
+    """Rows rebalanced by day and sorted within each file to be.
 
     The rebalance gives each day its own writers, splits a day too big for one file and
     joins small ones, so files stay near the advisory size whatever the skew, and a day
-    or machine filter skips files and pages by their statistics.
+    filter skips files and pages by their statistics.
     """
+    keyed = df.withColumn("_day", day).hint("rebalance", "_day")
+    return keyed.sortWithinPartitions(*order).drop("_day")
+
+
+def _by_month(df: DataFrame) -> DataFrame:
+    """Month column last, days together, sorted for the filters of the reports."""
     if "year_month" not in df.columns:
         df = df.withColumn("year_month", year_month("date_key"))
     rest = [c for c in df.columns if c != "year_month"]
-    together = df.select(*rest, "year_month").hint("rebalance", F.col("date_key"))
-    return together.sortWithinPartitions("year_month", "date_key", "machine")
+    rows = df.select(*rest, "year_month")
+    return days_together(rows, F.col("date_key"), "year_month", "date_key", "machine")
 
 
 def write_mart(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
@@ -10,7 +11,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from millwright import schemas
-from millwright.plans import build, staging
+from millwright.plans import build, reports, staging
 from millwright.sources import load, raw, tables
 from rows import CC, RUN, START, event, raw_fact, raw_tables
 
@@ -150,11 +151,22 @@ def test_catalog_build_equals_lazy_build(spark):
     assert spark.sql("SHOW PARTITIONS marts.fact_oee_daily").count() == 2
 
 
-def test_month_filter_prunes_partitions(spark):
-    raw_ = raw_tables(spark, month_rows())
-    fact = build.build_catalog(raw_).fact_oee_daily
-    plan = fact.filter("year_month = '2021-07'")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(year_month" in plan
+def test_date_filter_prunes_months(spark):
+    models = build.build_catalog(raw_tables(spark, month_rows()))
+    july = reports.Filters((dt.date(2021, 7, 1), dt.date(2021, 7, 31)))
+    for fact in (models.fact_oee_daily, models.fact_machine_events):
+        filtered = reports.apply_filters(fact, july)
+        plan = filtered._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PartitionFilters: \[[^\]]*year_month#\d+ >= 2021-07", plan)
+        assert filtered.count() == fact.count() / 2
+
+
+def test_load_by_day_keeps_rows_and_order(spark):
+    rows = raw_fact(spark, month_rows()).repartition(5)
+    stored, report = load.load_table(rows, "raw_fact", "raw_by_day", by_day="startdatetime")
+    assert report.n_rows == stored.count() == len(month_rows())
+    starts = [r.startdatetime for r in stored.collect()]
+    assert starts == sorted(starts)  # one small file
 
 
 def rows_of(df):
