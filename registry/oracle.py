@@ -6,10 +6,12 @@ are written against the meaning of each model, not generated from the Spark code
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from registry import oracle_checks
 from registry.queries import LINES, OVER_LINES
 
-JUNK_KEY = "_dbt_utils_surrogate_key_null_"
+NULL_TEXT = "_dbt_utils_surrogate_key_null_"
 
 
 def rnd(expression: str, digits: int) -> str:
@@ -24,6 +26,10 @@ def div(a: str, b: str) -> str:
     return f"(CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0))"
 
 
+def key_text(column: str) -> str:
+    return f"coalesce(CAST({column} AS VARCHAR), '{NULL_TEXT}')"
+
+
 MINUTES = (
     "planned_time_min", "run_time_min", "downtime_min", "changeover_time_min",
     "pm_downtime_min", "minor_stoppage_min", "major_stoppage_min",
@@ -125,10 +131,10 @@ CTES: dict[str, str] = {
         WHERE planned_time_min > 0""".replace(
             "CAST(run_time_min / 60.0 AS DOUBLE)", "(CAST(run_time_min AS DOUBLE) / 60)"
         ),
-    "dim_machine": """
-        SELECT md5(machine_name) AS machine_key, * FROM stg_machine""",
-    "dim_product": """
-        SELECT md5(product_name) AS product_key, * FROM stg_product""",
+    "dim_machine": f"""
+        SELECT md5({key_text('machine_name')}) AS machine_key, * FROM stg_machine""",
+    "dim_product": f"""
+        SELECT md5({key_text('product_name')}) AS product_key, * FROM stg_product""",
     "days": """
         SELECT CAST(unnest(generate_series(date_trunc('month', min(startdatetime)),
                     CAST(last_day(CAST(max(startdatetime) AS DATE)) AS TIMESTAMP),
@@ -141,9 +147,9 @@ CTES: dict[str, str] = {
                CAST((day(date_day) + 6) // 7 AS INTEGER) AS week_of_month,
                strftime(date_day, '%Y-%m') AS year_month
         FROM days""",
-    "fact_machine_events": """
-        SELECT md5(concat(e.machine, '-', CAST(start_datetime AS VARCHAR), '-',
-                          CAST(end_datetime AS VARCHAR), '-', e.product)) AS event_id,
+    "fact_machine_events": f"""
+        SELECT md5({key_text('e.machine')} || '-' || {key_text('start_datetime')} || '-' ||
+                   {key_text('end_datetime')} || '-' || {key_text('e.product')}) AS event_id,
                machine_key, product_key, CAST(start_datetime AS DATE) AS date_key,
                e.machine, e.product, start_datetime, end_datetime, duration_minutes,
                oee_category_raw, oee_status_group, stoppage_class, total_biscuits_made,
@@ -447,8 +453,8 @@ STATEMENTS: dict[str, str] = {
     "b15_oee": fact_columns("availability", "performance", "quality", "oee"),
     "b16_surrogate_key": f"""
         SELECT start_datetime, machine, category,
-               md5(coalesce(category, '{JUNK_KEY}') || '-' || machine || '-'
-                   || CAST(start_datetime AS VARCHAR)) AS key
+               md5({key_text('category')} || '-' || {key_text('machine')} || '-'
+                   || {key_text('start_datetime')}) AS key
         FROM (SELECT *, CASE oee_category_raw WHEN 'Run Time' THEN NULL WHEN '0' THEN ''
                         ELSE oee_category_raw END AS category FROM stg_fact_events)""",
     "b17_whatif_reduction": f"SELECT {WHATIF} FROM ({whatif('0.30')})",
@@ -505,15 +511,17 @@ STATEMENTS: dict[str, str] = {
     " GROUP BY machine",
     "d14_count": "SELECT count(*) AS n_rows FROM fact_machine_events",
     "d15_repeated_keys": f"SELECT {EVENT_KEY}, count(*) AS n_rows FROM trimmed"
-    " GROUP BY ALL HAVING count(*) > 1",
+    " WHERE machine IS NOT NULL AND product IS NOT NULL AND start_datetime IS NOT NULL"
+    " AND end_datetime IS NOT NULL GROUP BY ALL HAVING count(*) > 1",
     "d16_hours": f"SELECT machine, oee_category_raw, {hours('duration_minutes')} AS hours"
     " FROM fact_machine_events GROUP BY ALL",
     "e1_dedup_events": f"SELECT {STAGED} FROM stg_fact_events",
     "e1_dedup_other_key": f"""
         SELECT {STAGED} FROM trimmed
         QUALIFY 1 = row_number() OVER (PARTITION BY machine, product
-            ORDER BY total_biscuits_made DESC, start_datetime DESC, end_datetime DESC,
-                     duration_minutes DESC, good_biscuits_made DESC, oee_category_raw DESC)""",
+            ORDER BY total_biscuits_made DESC NULLS FIRST, start_datetime DESC NULLS FIRST,
+                     end_datetime DESC NULLS FIRST, duration_minutes DESC NULLS FIRST,
+                     good_biscuits_made DESC NULLS FIRST, oee_category_raw DESC NULLS FIRST)""",
     "f3_ranked": f"SELECT machine, product, {pct('quality', 1)} AS quality_pct FROM fact_oee_daily"
     " GROUP BY machine, product ORDER BY quality_pct DESC, machine, product",
     "f4_bottom_1": f"SELECT product, {pct('oee', 2)} AS oee_pct FROM fact_oee_daily"
@@ -524,7 +532,7 @@ STATEMENTS: dict[str, str] = {
         SELECT machine, oee_category_raw, CAST(minutes AS DOUBLE) AS minutes, CAST(rank AS INTEGER) AS rank
         FROM (SELECT machine, oee_category_raw, sum(duration_minutes) AS minutes,
                      row_number() OVER (PARTITION BY machine
-                         ORDER BY sum(duration_minutes) DESC, oee_category_raw) AS rank
+                         ORDER BY sum(duration_minutes) DESC NULLS FIRST, oee_category_raw) AS rank
               FROM fact_machine_events WHERE oee_status_group <> 'RUN'
               GROUP BY machine, oee_category_raw)
         WHERE rank <= 3""",
@@ -569,12 +577,12 @@ STATEMENTS: dict[str, str] = {
         FROM (SELECT count(*) AS raw_rows FROM raw_fact),
              (SELECT count(*) AS event_rows,
                      count(*) FILTER (duration_minutes > 1440) AS outlier_rows,
-                     count(*) FILTER (oee_category_raw IS NULL OR oee_category_raw = '0') AS unknown_rows,
+                     count(*) FILTER (coalesce(oee_category_raw, '') IN ('', '0')) AS unknown_rows,
                      count(*) FILTER (lower(oee_category_raw) LIKE 'no%') AS no_order_rows,
                      count(*) FILTER (good_biscuits_made > total_biscuits_made)
                        AS good_above_total_rows FROM stg_fact_events),
              (SELECT count(*) AS day_groups,
-                     count(*) FILTER (planned_time_min = 0) AS dropped_day_groups FROM day_groups)""",
+                     count(*) FILTER (planned_time_min <= 0) AS dropped_day_groups FROM day_groups)""",
 }
 
 
@@ -583,15 +591,22 @@ def _with(models: dict[str, str], text: str) -> str:
     return f"WITH {prefix}\n{text}"
 
 
-def statements() -> dict[str, str]:
+def bodies() -> dict[str, str]:
+    """The statements without their common table expressions."""
     body = dict(STATEMENTS)
     for number, (key, (text, predicate)) in enumerate(REPORTS.items(), start=1):
         body[f"q{number}_{key}"] = text.replace("{where}", "TRUE")
         body[f"q{number}_{key}_filtered"] = text.replace("{where}", predicate)
-    body |= oracle_checks.statements()
-    models = CTES | oracle_checks.CORRUPTED
-    over_events = {key: _with(models, text) for key, text in body.items()}
-    over_lines = {
-        key + LINES: _with(models | LINE_CTES, body[key]) for key in OVER_LINES
-    }
-    return over_events | over_lines
+    return body | oracle_checks.statements()
+
+
+def over(raw: dict[str, str], keys: Iterable[str] | None = None) -> dict[str, str]:
+    """Statements with some of the raw tables defined otherwise."""
+    models = CTES | oracle_checks.CORRUPTED | raw
+    found = bodies()
+    return {key: _with(models, found[key]) for key in (found if keys is None else keys)}
+
+
+def statements() -> dict[str, str]:
+    over_lines = over(LINE_CTES, OVER_LINES)
+    return over({}) | {key + LINES: text for key, text in over_lines.items()}

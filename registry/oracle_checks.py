@@ -141,7 +141,8 @@ def statements() -> dict[str, str]:
         "k2_unique": "SELECT product_name, count(*) AS n_rows FROM bad_products"
         " GROUP BY product_name HAVING count(*) > 1",
         "k2_unique_composite": "SELECT machine, product, oee_category_raw, count(*) AS n_rows"
-        " FROM stg_fact_events GROUP BY ALL HAVING count(*) > 1",
+        " FROM stg_fact_events WHERE machine IS NOT NULL AND product IS NOT NULL"
+        " AND oee_category_raw IS NOT NULL GROUP BY ALL HAVING count(*) > 1",
         "k3_accepted_values": f"SELECT {event}, oee_status_group, is_duration_outlier,"
         " is_unknown_category, stoppage_class FROM bad_classified WHERE oee_status_group = 'IDLE'",
         "k4_relationships": "SELECT machine_key, count(*) AS n_rows FROM bad_fact"
