@@ -7,12 +7,14 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millwright.config import DEFAULTS, Settings
 from millwright.functions.calendar import date_spine_of
+from millwright.functions.keys import surrogate_key
 from millwright.plans import intermediate, marts, staging
+from millwright.schemas import EVENT_KEY
 from millwright.sources.tables import materialize, register_view, replace_months, write_mart
 
 
@@ -144,8 +146,13 @@ def compose(raw, settings: Settings = DEFAULTS, spine: DataFrame | None = None)
 MONTHLY = ("fact_machine_events", "fact_oee_daily")
 
 
+def _derived(name: str) -> dict[str, Column]:
+    return {"event_id": surrogate_key(*EVENT_KEY)} if name == "fact_machine_events" else {}
+
+
 def _store_mart(df: DataFrame, name: str) -> DataFrame:
-    return write_mart(df, name, partition_by="year_month" if name in MONTHLY else None)
+    month = "year_month" if name in MONTHLY else None
+    return write_mart(df, name, partition_by=month, derived=_derived(name))
 
 
 def build_catalog(raw, settings: Settings = DEFAULTS, spine: DataFrame | None = None) -> Models:
@@ -172,7 +179,7 @@ def refresh_months(
     def store(df: DataFrame, name: str) -> DataFrame:
         if name not in MONTHLY:
             return _store_mart(df, name)
-        return replace_months(df, months, name)
+        return replace_months(df, months, name, derived=_derived(name))
 
     part = replace(raw, raw_fact=in_days(raw.raw_fact, start, end - dt.timedelta(days=1)))
     models = Models(

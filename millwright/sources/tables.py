@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -100,28 +100,41 @@ def days_together(df: DataFrame, day: Column, *order: str) -> DataFrame:
     return keyed.sortWithinPartitions(*order).drop("_day")
 
 
-def _by_month(df: DataFrame) -> DataFrame:
+def _by_month(df: DataFrame, derived: Mapping[str, Column]) -> DataFrame:
     """Month column last, days together, sorted for the filters of the reports."""
     if "year_month" not in df.columns:
         df = df.withColumn("year_month", year_month("date_key"))
-    rest = [c for c in df.columns if c != "year_month"]
-    rows = df.select(*rest, "year_month")
-    return days_together(rows, F.col("date_key"), "year_month", "date_key", "machine")
+    names = [*(c for c in df.columns if c != "year_month"), "year_month"]
+    rows = df.select(*[c for c in names if c not in derived])
+    rows = days_together(rows, F.col("date_key"), "year_month", "date_key", "machine")
+    return rows.select(*[derived[c].alias(c) if c in derived else c for c in names])
 
 
 def write_mart(
-    df: DataFrame, table: str, layer: str = MARTS, partition_by: str | None = None
+    df: DataFrame,
+    table: str,
+    layer: str = MARTS,
+    partition_by: str | None = None,
+    derived: Mapping[str, Column] = {},
 ) -> DataFrame:
-    """Store a mart; facts are partitioned by month so date filters prune files."""
+    """Store a mart; facts are partitioned by month so date filters prune files.
+
+    ``derived`` columns of a partitioned mart are computed from its other columns after
+    the rows were exchanged: a hash as wide as the rest of the row need not travel.
+    """
     if partition_by is None:
         return write_table(df, table, layer)
     if partition_by != "year_month":
         raise ValueError("marts are partitioned by year_month")
-    return write_table(_by_month(df), table, layer, [partition_by])
+    return write_table(_by_month(df, derived), table, layer, [partition_by])
 
 
 def replace_months(
-    df: DataFrame, months: Sequence[str], table: str, layer: str = MARTS
+    df: DataFrame,
+    months: Sequence[str],
+    table: str,
+    layer: str = MARTS,
+    derived: Mapping[str, Column] = {},
 ) -> DataFrame:
     """Overwrite some months of a stored, month-partitioned mart with the rows of ``df``.
 
@@ -134,12 +147,12 @@ def replace_months(
         df = df.withColumn("year_month", year_month("date_key"))
     df = df.filter(F.col("year_month").isin(*months))
     if not spark.catalog.tableExists(live):
-        return write_mart(df, table, layer, "year_month")
+        return write_mart(df, table, layer, "year_month", derived)
     folder = _location(spark, live)
     seen = Observation(f"months_{table}")
     rows = df.select(*spark.table(live).columns)
     (
-        _by_month(rows)
+        _by_month(rows, derived)
         .observe(seen, F.collect_set("year_month").alias("months"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
