@@ -40,10 +40,14 @@ LINEITEM_SCHEMA = (
     "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
     " l_extendedprice double, l_discount double, l_tax double, l_shipdate timestamp_ntz"
 )
-EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+EVENTS_SCHEMA = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double,"
+    " props string"
+)
 SUPPLIER_SCHEMA = "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"
 PART_SCHEMA = (
-    "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,"
+    " p_retailprice double"
 )
 
 
@@ -114,7 +118,11 @@ def raw_product(part: DataFrame) -> DataFrame:
 
 
 def raw_target_speeds(part: DataFrame) -> DataFrame:
-    """Speeds of every part on each of the ten machines; some pairs have none."""
+    """Speeds of every part on each of the ten machines.
+
+    As FIXTURES.md lays down, a fifth of the pairs has no speed, so that some day rows
+    have no target; no part is left out.
+    """
     pairs = part.select(
         F.col("p_partkey").alias("p"),
         F.explode(F.sequence(F.lit(0), F.lit(MACHINES - 1))).alias("m"),

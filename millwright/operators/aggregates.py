@@ -54,9 +54,9 @@ def target_output() -> Column:
 
     22,6 x 15,6 digits multiply to exactly 38,12, so nothing is rounded before the sum.
     """
-    target = F.coalesce(F.col("target_biscuits_per_hour").cast("decimal(15,6)"), F.lit(0).cast("decimal(15,6)"))
-    run = F.coalesce(F.col("run_time_min").cast("decimal(22,6)"), F.lit(0).cast("decimal(22,6)"))
-    return hours_double(F.sum(target * run))
+    target = F.col("target_biscuits_per_hour").cast("decimal(15,6)")
+    run = F.col("run_time_min").cast("decimal(22,6)")
+    return hours_double(F.sum(F.coalesce(target * run, F.lit(0).cast("decimal(38,12)"))))
 
 
 def run_weighted(value: str) -> Column:

@@ -68,10 +68,11 @@ def load_all(
 ) -> list[LoadReport]:
     """Reload every raw table from its file; one report per table."""
     expected = expected or {}
-    return [
-        load_table(read_source(spark, path, fmt), table, expected=expected.get(table), strict=strict)[1]
-        for table, path in paths.items()
-    ]
+    reports = []
+    for table, path in paths.items():
+        source = read_source(spark, path, fmt)
+        reports.append(load_table(source, table, expected=expected.get(table), strict=strict)[1])
+    return reports
 
 
 def reconcile(df: DataFrame, table: str, expected: int | None = None) -> DataFrame:
@@ -105,8 +106,10 @@ def freshness(
     day = 24 * 60 * 60
     newest = df.agg(F.max(column).alias("max_loaded_at"))
     moment = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
-    aged = newest.withColumn("age_seconds", F.timestamp_diff("SECOND", F.col("max_loaded_at"), moment))
     age = F.col("age_seconds")
+    aged = newest.withColumn(
+        "age_seconds", F.timestamp_diff("SECOND", F.col("max_loaded_at"), moment)
+    )
     status = (
         F.when(age.isNull() | (age > error_days * day), "error")
         .when(age > warn_days * day, "warn")

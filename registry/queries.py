@@ -25,7 +25,7 @@ from millwright.functions import numeric as num
 from millwright.functions.keys import surrogate_key
 from millwright.operators import aggregates as agg
 from millwright.operators.dedup import dedup_events
-from millwright.operators.joins import lookup_join, orphans
+from millwright.operators.joins import orphans
 from millwright.operators.ranking import ranked, top_per_group
 from millwright.plans import build, checks, intermediate, marts, reports, staging
 from millwright.schemas import EVENT_KEY
@@ -239,17 +239,29 @@ def _(p):
     return p.models.stg_machine
 
 
-def _event_column(p: Plant, column: str) -> DataFrame:
-    return p.classified.select(*EVENT_KEY, "oee_category_raw", "duration_minutes", column)
+def _event_column(df: DataFrame, column: str) -> DataFrame:
+    return df.select(*EVENT_KEY, "oee_category_raw", "duration_minutes", column)
 
 
-for _key, _column in {
-    "b5_classify_status": "oee_status_group",
-    "b6_flag_outlier": "is_duration_outlier",
-    "b7_flag_unknown": "is_unknown_category",
-    "b8_classify_stoppage": "stoppage_class",
-}.items():
-    QUERIES[_key] = partial(_event_column, column=_column)
+@query("b5_classify_status")
+def _(p):
+    return _event_column(intermediate.classify_status(p.staged), "oee_status_group")
+
+
+@query("b6_flag_outlier")
+def _(p):
+    return _event_column(intermediate.flag_outlier(p.staged), "is_duration_outlier")
+
+
+@query("b7_flag_unknown")
+def _(p):
+    return _event_column(intermediate.flag_unknown(p.staged), "is_unknown_category")
+
+
+@query("b8_classify_stoppage")
+def _(p):
+    grouped = intermediate.classify_status(p.staged)
+    return _event_column(intermediate.classify_stoppage(grouped), "stoppage_class")
 
 
 @query("b9_exclude_outliers")

@@ -11,7 +11,7 @@ import pytest
 from compare import connect, difference
 from registry import oracle
 from registry import queries as registered
-from rows import raw_fact, raw_tables
+from rows import raw_tables
 
 NAMES = ("Machine 3", "Machine 3 ", " Machine 4", "Machine 4", "machine 4", "", None)
 PRODUCTS = ("Product 5", " Product 5", "Product 6", None)
