@@ -51,13 +51,17 @@ DEFAULTS = Settings()
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``; only where that is unset (tests,
-    one machine) does the session get a folder of its own.
+    A cluster names it in ``spark.checkpoint.dir``. Where that is unset, a local session
+    (tests, one machine) gets a folder of its own; on a cluster that is an error.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="millwright-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and context.master.startswith("local"):
+            folder = tempfile.mkdtemp(prefix="millwright-")
+        if folder is None:
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 

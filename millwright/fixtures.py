@@ -13,14 +13,13 @@ total.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwright import schemas
-from millwright.sources.raw import read_table
+from millwright.sources.raw import RawTables, read_table
 
 MACHINES = 10
 PRODUCTS = 18
@@ -51,17 +50,6 @@ PART_SCHEMA = (
 )
 
 
-@dataclass(frozen=True)
-class RawTables:
-    raw_fact: DataFrame
-    raw_target_speeds: DataFrame
-    raw_product: DataFrame
-    raw_machine: DataFrame
-
-    def items(self):
-        return vars(self).items()
-
-
 def _machine_text(number) -> F.Column:
     return F.concat(F.lit("Machine "), number.cast("string"), F.lit(" "))
 

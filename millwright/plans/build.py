@@ -15,9 +15,9 @@ from millwright.functions.calendar import date_spine_of
 from millwright.functions.keys import surrogate_key
 from millwright.plans import intermediate, marts, staging
 from millwright.schemas import EVENT_KEY
+from millwright.sources.raw import RawTables
 from millwright.sources.tables import materialize, register_view, replace_months, write_mart
 
-
 Keep = Callable[[DataFrame, str], DataFrame]
 
 
@@ -53,7 +53,7 @@ class Models:
 
     def __init__(
         self,
-        raw,
+        raw: RawTables,
         settings: Settings = DEFAULTS,
         spine: DataFrame | None = None,
         store: Keep = _lazy,
@@ -138,7 +138,7 @@ class Models:
         return {name: getattr(self, name) for name in self.NAMES}
 
 
-def compose(raw, settings: Settings = DEFAULTS, spine: DataFrame | None = None) -> Models:
+def compose(raw: RawTables, settings: Settings = DEFAULTS, spine: DataFrame | None = None) -> Models:
     """Every model as a lazy DataFrame over the raw tables."""
     return Models(raw, settings, spine)
 
@@ -155,7 +155,9 @@ def _store_mart(df: DataFrame, name: str) -> DataFrame:
     return write_mart(df, name, partition_by=month, derived=_derived(name))
 
 
-def build_catalog(raw, settings: Settings = DEFAULTS, spine: DataFrame | None = None) -> Models:
+def build_catalog(
+    raw: RawTables, settings: Settings = DEFAULTS, spine: DataFrame | None = None
+) -> Models:
     """Views for staging and intermediate, stored tables for the marts."""
     models = Models(raw, settings, spine, store=_store_mart, view=register_view)
     models.tables()
@@ -163,7 +165,7 @@ def build_catalog(raw, settings: Settings = DEFAULTS, spine: DataFrame | None =
 
 
 def refresh_months(
-    raw, first: dt.date, last: dt.date, settings: Settings = DEFAULTS
+    raw: RawTables, first: dt.date, last: dt.date, settings: Settings = DEFAULTS
 ) -> Models:
     """Rebuild the months from ``first`` to ``last`` of stored marts, and the small marts.
 
@@ -193,7 +195,9 @@ def refresh_months(
     return models
 
 
-def build_scratch(raw, settings: Settings = DEFAULTS, spine: DataFrame | None = None) -> Models:
+def build_scratch(
+    raw: RawTables, settings: Settings = DEFAULTS, spine: DataFrame | None = None
+) -> Models:
     """Marts written once to the shared scratch folder, for one run over many of them."""
     models = Models(raw, settings, spine, store=materialize)
     models.tables()

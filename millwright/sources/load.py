@@ -10,9 +10,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from millwright import schemas
 from millwright.config import DEFAULTS
-from millwright.sources.raw import prepare, read_source
-from millwright.sources.tables import RAW, days_together, stage_write, swap_in
+from millwright.sources.raw import RawTables, prepare, read_source
+from millwright.sources.tables import RAW, days_together, layer_name, stage_write, swap_in
 
 OK = "OK"
 DIFFERS = "DIFFERS"
@@ -75,6 +76,11 @@ def load_all(
     return reports
 
 
+def stored_raw(spark: SparkSession, layer: str = RAW) -> RawTables:
+    """The raw tables as last loaded."""
+    return RawTables(**{name: spark.table(layer_name(layer, name)) for name in schemas.RAW})
+
+
 def reconcile(df: DataFrame, table: str, expected: int | None = None) -> DataFrame:
     """Row count of a table against the expected one."""
     wanted = F.lit(expected).cast("bigint")

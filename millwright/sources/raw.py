@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,19 @@ TIMESTAMP_COLUMNS = ("startdatetime", "enddatetime")
 MISSPELT_PREFIX = "bsicuits"
 
 
+@dataclass(frozen=True)
+class RawTables:
+    """The four raw tables every model is built from."""
+
+    raw_fact: DataFrame
+    raw_target_speeds: DataFrame
+    raw_product: DataFrame
+    raw_machine: DataFrame
+
+    def items(self):
+        return vars(self).items()
+
+
 def read_table(
     spark: SparkSession, path: str, schema: str | T.StructType, fmt: str = "parquet"
 ) -> DataFrame:

@@ -6,7 +6,7 @@ import datetime as dt
 from decimal import Decimal
 
 from millwright import schemas
-from millwright.fixtures import RawTables
+from millwright.sources.raw import RawTables
 
 START = dt.datetime(2021, 7, 1, 8, 0)
 RUN, CC, PM, NO, JUNK = "Run Time", "CC (Changeover Cleaning)", "PM (Maintenance)", "NO (No Order)", "0"

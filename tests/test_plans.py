@@ -13,6 +13,7 @@ from millwright import fixtures
 from millwright.operators.dedup import dedup_events
 from millwright.operators.joins import lookup_join, orphans
 from millwright.plans import build, reports, staging
+from millwright.sources.raw import RawTables
 from rows import CC, RUN, START, event, raw_fact
 
 
@@ -120,7 +121,7 @@ def test_hot_machine_is_split_where_the_lookup_is_not_broadcast(spark):
 @pytest.mark.parametrize("partitions", ["1", "3", "17"])
 def test_partitioning_does_not_change_results(spark, raw, partitions):
     expected = rows_of(build.compose(raw).fact_oee_daily)
-    shuffled = fixtures.RawTables(**{n: df.repartition(int(partitions)) for n, df in raw.items()})
+    shuffled = RawTables(**{n: df.repartition(int(partitions)) for n, df in raw.items()})
     with conf(spark, **{"spark.sql.shuffle.partitions": partitions}):
         assert rows_of(build.compose(shuffled).fact_oee_daily) == expected
 

@@ -204,3 +204,31 @@ def test_monthly_refreshes_add_up_to_a_full_build(spark):
     for name in ("fact_machine_events", "fact_oee_daily", "dim_date",
                  "mart_oee_monthly_summary", "mart_whatif_pm_reduction"):
         assert rows_of(stored[name].select(*whole[name].columns)) == rows_of(whole[name]), name
+
+
+def test_from_csv_sheets_to_a_report(spark, tmp_path):
+    sheets = {
+        "raw_fact": (
+            "Machine,StartDateTime,EndDateTime,Duration,TotalBiscuitsMade,GoodMadeBiscuits,OEE Category,Product",
+            "M1 ,2021-07-01 08:00:00,2021-07-01 09:00:00,60,100,80,Run Time,P1",
+            "M1 ,2021-07-01 08:00:00,2021-07-01 09:00:00,60,90,80,Run Time,P1",
+            "M1,2021-07-01 10:00:00,2021-07-01 10:20:00,20.0,0.0,0,CC (Changeover Cleaning), P1",
+        ),
+        "raw_target_speeds": ("Machine,Product,Target Biscuits Per Hour", "M1,P1,200"),
+        "raw_product": (
+            "Product Name,Biscuits Per Pack,Biscuits Per Case,Bsicuits Per Pallet,Biscuits Per Pallet",
+            "P1,10,120,,4800",
+        ),
+        "raw_machine": ("Machine Name,Machine Type", "M1 ,Baking"),
+    }
+    for name, lines in sheets.items():
+        (tmp_path / f"{name}.csv").write_text("\n".join(lines) + "\n")
+    paths = {name: str(tmp_path / f"{name}.csv") for name in sheets}
+    loaded = load.load_all(spark, paths, expected={"raw_fact": 4})
+    assert [(r.n_rows, r.status) for r in loaded] == [(3, load.DIFFERS), (1, load.OK), (1, load.OK), (1, load.OK)]
+    models = build.build_catalog(load.stored_raw(spark))
+    (row,) = models.fact_oee_daily.collect()
+    assert (row.planned_time_min, row.run_time_min, row.total_biscuits_made) == (80, 60, 100)
+    assert (row.availability, row.performance, row.quality) == (0.75, 0.5, 0.8)
+    (shown,) = reports.report("oee_machine", models).collect()
+    assert tuple(shown) == ("M1", 30.0, "CC (Changeover Cleaning): 0.3h")
