@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millwright.llm import bpe, packing, pii
+from millwright.llm import bpe, extraction, packing, pii, quality
 from millwright.llm.common import documents, vocabulary_path
 
 QUERIES = {}
@@ -21,10 +21,23 @@ def _(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir), vocabulary_path("word_bpe_49k.json"))
 
 
+@query("op3_line_crf_quality")
+def _(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    sample = quality.labelled_sample(docs, documents(spark, sf_dir, "labels"))
+    return quality.judge(docs, quality.train(sample))
+
+
 @query("op5_transducer_bpe")
 def _(spark, sf_dir):
     return bpe.encode_decode(documents(spark, sf_dir), vocabulary_path("byte_bpe_50k.json"))
 
+@query("op6_region_extraction")
+def _(spark, sf_dir):
+    pages = documents(spark, sf_dir, "pages")
+    return extraction.extract(pages, extraction.train(extraction.labelled_sample(pages)))
+
+
 @query("op9_boosted_pii")
 def _(spark, sf_dir):
     return pii.detect(documents(spark, sf_dir))
