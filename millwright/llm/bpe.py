@@ -21,6 +21,7 @@ import tempfile
 from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import lru_cache
 from hashlib import sha256
 
 import numpy as np
@@ -320,9 +321,10 @@ class Coder:
 
     def texts(self, texts: list[str | None]) -> list[Encoded]:
         cut = [chunks(t) if t else [] for t in texts]
-        if len(self.known) > self.cached:
-            self.known.clear()
-        self.learn(list(set().union(*cut).difference(self.known)))
+        here = set().union(*cut)
+        if len(self.known) > self.cached:  # keep what is in use
+            self.known = {c: self.known[c] for c in here if c in self.known}
+        self.learn(list(here.difference(self.known)))
         out, known = [], self.known.__getitem__
         for cs in cut:
             ids, ns, data = zip(*map(known, cs)) if cs else ((), (), ())
@@ -330,6 +332,12 @@ class Coder:
         return out
 
 
+@lru_cache(maxsize=1)
+def coder(vocabulary_json: str, lexicon: bytes) -> Coder:
+    """One per Python worker, so the tasks it runs share the remembered chunks."""
+    return Coder(Merges(vocabulary_json), Transducer.mapped(lexicon))
+
+
 def word_counts(docs: DataFrame, specials: tuple[str, ...], text: str = "text") -> DataFrame:
     """(word, n) over all texts; counted in each batch before rows meet."""
 
@@ -390,11 +398,10 @@ def encode_decode(
 
     def make():
         gc.disable()  # the remembered chunks hold no cycles, and walking them costs time
-        vocabulary_json, blob = shared.value
-        coder = Coder(Merges(vocabulary_json), Transducer.mapped(blob))
+        texts_of = coder(*shared.value).texts
 
         def work(keys, texts):
-            found = coder.texts(texts)
+            found = texts_of(texts)
             decoded = [e.data.decode("utf-8", "replace") for e in found]
             return {
                 key: keys,

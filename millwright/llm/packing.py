@@ -19,6 +19,7 @@ from __future__ import annotations
 import gc
 import zlib
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 from pyspark import TaskContext
@@ -31,7 +32,7 @@ from millwright.scratch import store
 
 CAPACITY = 4096
 END_ID = 2
-CACHED_WORDS = 400_000
+CACHED_WORDS = 700_000
 WORDS_AT_ONCE = 4096
 
 
@@ -70,13 +71,20 @@ class WordIds:
     def texts(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         cut = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        self.learn(list(set().union(*cut).difference(self.known)))
+        here = set().union(*cut)
+        if len(self.known) > CACHED_WORDS:  # keep what is in use
+            self.known = {w: self.known[w] for w in here if w in self.known}
+        self.learn(list(here.difference(self.known)))
         known = self.known.__getitem__
         return [b"".join(map(known, words)) for words in cut]
 
 
+@lru_cache(maxsize=1)
+def word_ids(vocabulary_json: str) -> WordIds:
+    """One per Python worker, so the tasks it runs share the remembered words."""
+    return WordIds(vocabulary_json)
+
+
 def cut_lengths(total: int, capacity: int) -> list[int]:
     """Whole bins, then the powers of two of the rest, largest first."""
     whole, rest = divmod(total, capacity)
@@ -182,6 +190,6 @@ def pack(
         raise ValueError("the capacity must be a power of two")
     source = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
     pieces = token_pieces(
-        docs, lambda: WordIds(source.value).texts, capacity, key, text, end_id
+        docs, lambda: word_ids(source.value).texts, capacity, key, text, end_id
     )
     return place(store(pieces, "pieces"), capacity, key)
