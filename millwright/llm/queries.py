@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millwright.llm import bpe, extraction, packing, pii, quality
+from millwright.llm import bpe, embeddings, extraction, minhash, packing, pii, quality
 from millwright.llm.common import documents, vocabulary_path
 
 QUERIES = {}
@@ -16,6 +16,11 @@ def query(name):
     return register
 
 
+@query("op1_projection_collisions")
+def _(spark, sf_dir):
+    return embeddings.near_duplicates(documents(spark, sf_dir, "embeddings"))
+
+
 @query("op2_harmonic_packing")
 def _(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir), vocabulary_path("word_bpe_49k.json"))
@@ -38,6 +43,11 @@ def _(spark, sf_dir):
     return extraction.extract(pages, extraction.train(extraction.labelled_sample(pages)))
 
 
+@query("op7_bbit_minhash")
+def _(spark, sf_dir):
+    return minhash.near_duplicates(documents(spark, sf_dir))
+
+
 @query("op9_boosted_pii")
 def _(spark, sf_dir):
     return pii.detect(documents(spark, sf_dir))
