@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millwright.llm import bpe, embeddings, extraction, minhash, packing, pii, quality
+from millwright.llm import bpe, embeddings, extraction, minhash, packing, pii, quality, suffixes
 from millwright.llm.common import documents, vocabulary_path
 
 QUERIES = {}
@@ -48,6 +48,11 @@ def _(spark, sf_dir):
     return minhash.near_duplicates(documents(spark, sf_dir))
 
 
+@query("op8_prefix_doubling")
+def _(spark, sf_dir):
+    return suffixes.remove_repeats(documents(spark, sf_dir))
+
+
 @query("op9_boosted_pii")
 def _(spark, sf_dir):
     return pii.detect(documents(spark, sf_dir))
