@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from millwright.llm import bpe, embeddings, extraction, minhash, packing, pii, quality, suffixes
+from millwright.llm import (
+    bpe, embeddings, extraction, language, lines, minhash, packing, pii, quality, suffixes,
+)
 from millwright.llm.common import documents, vocabulary_path
 
 QUERIES = {}
@@ -33,6 +35,11 @@ def _(spark, sf_dir):
     return quality.judge(docs, quality.train(sample))
 
 
+@query("op4_segment_lines")
+def _(spark, sf_dir):
+    return lines.near_lines(documents(spark, sf_dir)).drop("line")
+
+
 @query("op5_transducer_bpe")
 def _(spark, sf_dir):
     return bpe.encode_decode(documents(spark, sf_dir), vocabulary_path("byte_bpe_50k.json"))
@@ -58,4 +65,9 @@ def _(spark, sf_dir):
     return pii.detect(documents(spark, sf_dir))
 
 
+@query("op10_pitman_yor")
+def _(spark, sf_dir):
+    return language.score(documents(spark, sf_dir))
+
+
 ORACLE_SQL = {}
