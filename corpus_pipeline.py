@@ -1,32 +1,62 @@
-"""Five stages from raw documents to packed token sequences."""
+"""Five stages from raw documents to packed token sequences.
+
+Every stage takes what the one before it kept, written as Parquet and read again. The first
+four return the columns of documents; ``n_chars`` is counted anew where a text changes. Columns
+beyond those are carried along. SQL cannot express the line field, the boosted trees, the edit
+join or the tokenizer, so there is no SQL for the rows of ``run``; tests compare the stages
+with brute-force versions.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millwright.llm import packing, pii
+from millwright.llm import lines, minhash, packing, pii, quality
 from millwright.llm.common import documents, vocabulary_path
 from millwright.scratch import drop, store
 
+ORACLE_SQL = None
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go; the field learns from the labelled documents of the input."""
+    labels = documents(spark, sf_dir, "labels")
+    sample = quality.labelled_sample(documents(spark, sf_dir), labels)
+    return quality.keep(docs, quality.train(sample))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every class of near-equal lines the first stays; emptied documents go."""
+    return lines.keep_first(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    gone = minhash.near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data gives way to its kind in brackets."""
     return pii.redact(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the remaining documents and their places in sequences."""
     return packing.pack(docs, vocabulary_path("word_bpe_49k.json"))
 
 
 STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("minhash_near_dedup", near_dedup),
     ("pii", redact_pii),
     ("packing", pack_sequences),
 ]
 
-ORACLE_SQL = None
-
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a folder; each reads what the last one wrote."""
+    """All stages over the documents of a folder."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
         last, docs = docs, store(stage(spark, docs, sf_dir), name)
