@@ -4,7 +4,8 @@ Lines within ``MAX_EDITS`` edits of each other are linked. A line is cut into
 ``MAX_EDITS + 1`` segments of even length. A longer or equally long line within the threshold
 holds at least one of them unchanged, at a place that can be off by few characters only; so
 each line probes the segment index of every length it could match with those of its substrings
-that a match allows (multi-match-aware windows). Pairs that meet are verified: what both begin
+that a match allows (multi-match-aware windows). Pairs that meet and differ in at most
+``2 * MAX_EDITS`` letter parities, which no pair within the threshold exceeds, are verified: what both begin
 and end with is taken off, and the rest is compared by a banded bit-parallel edit distance, in
 which one machine word holds the vertical differences of the 2 * MAX_EDITS + 1 cells of the
 band.
@@ -24,6 +25,8 @@ from millwright.scratch import drop, store
 
 MAX_EDITS = 1
 MIN_CHARS = 20
+LETTERS = "etaoinsrhldcumfpgwyb"
+FILTER_WORDS = 1 << 16  # of 64 bits each: the fixed size of the filter on line ids
 
 
 def line_rows(docs: DataFrame, key: str, text: str, min_chars: int = 0) -> DataFrame:
@@ -44,7 +47,7 @@ def distinct_lines(docs: DataFrame, key: str, text: str, min_chars: int) -> Data
         .select(
             F.monotonically_increasing_id().alias("id"), "line", "n_copies",
             F.col("first.doc").alias("doc"), F.col("first.line_no").alias("line_no"),
-            F.char_length("line").alias("n"),
+            F.char_length("line").alias("n"), letter_parities(F.col("line")).alias("parities"),
         )
     )
 
@@ -62,12 +65,21 @@ def segment_key(line: Column, length: Column, i: int, begin: Column, size: Colum
     return F.xxhash64(length, F.lit(i), F.substring(line, begin + 1, size))
 
 
+def letter_parities(line: Column) -> Column:
+    """Bit i: whether the line holds an odd number of letter i. An edit flips at most two."""
+    bits = F.lit(0)
+    for i, letter in enumerate(LETTERS):
+        found = F.char_length(line) - F.char_length(F.replace(line, F.lit(letter)))
+        bits = bits + F.shiftleft(found.bitwiseAND(F.lit(1)), i)
+    return bits
+
+
 def index_rows(lines: DataFrame, edits: int) -> DataFrame:
     keys = []
     for i in range(edits + 1):
         begin, size = segment(F.col("n"), i, edits + 1)
         keys.append(segment_key(F.col("line"), F.col("n"), i, begin, size))
-    return lines.select("id", F.explode(F.array(*keys)).alias("k"))
+    return lines.select("id", "parities", F.explode(F.array(*keys)).alias("k"))
 
 
 def probe_rows(lines: DataFrame, edits: int) -> DataFrame:
@@ -82,9 +94,9 @@ def probe_rows(lines: DataFrame, edits: int) -> DataFrame:
                 at = begin + shift
                 inside = (at >= 0) & (at + size <= F.col("n"))
                 keys.append(F.when(inside, segment_key(F.col("line"), length, i, at, size)))
-    return lines.select("id", F.explode(F.array_distinct(F.array(*keys))).alias("k")).where(
-        "k is not null"
-    )
+    return lines.select(
+        "id", "parities", F.explode(F.array_distinct(F.array(*keys))).alias("k")
+    ).where("k is not null")
 
 
 def common_prefix(a: Column, b: Column, limit: Column) -> Column:
@@ -201,6 +213,23 @@ def within(pairs: DataFrame, edits: int) -> DataFrame:
     return rest.where(near).select("a", "b")
 
 
+def perhaps_in(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose id may be in ``ids``: a bitmap of hashes, of a fixed size.
+
+    It has ``FILTER_WORDS`` rows at most, so it may be broadcast at any input size; an exact
+    join follows, and now moves few of the long rows.
+    """
+    bit = f"pmod(xxhash64(id), {FILTER_WORDS * 64})"
+    word, place = F.expr(f"{bit} div 64"), F.expr(f"cast({bit} % 64 as int)")
+    bitmap = ids.select(word.alias("word"), place.alias("place")).groupBy("word").agg(
+        F.expr("bit_or(shiftleft(1L, place))").alias("bits")
+    )
+    kept = rows.withColumn("word", word).withColumn("place", place).join(
+        F.broadcast(bitmap), "word"
+    )
+    return kept.where(F.expr("shiftrightunsigned(bits, place) & 1 = 1")).select(*rows.columns)
+
+
 def near_lines(
     docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, key: str = "doc_id",
     text: str = "text",
@@ -210,15 +239,22 @@ def near_lines(
     ``kept`` marks the line that comes first in its class.
     """
     lines = store(distinct_lines(docs, key, text, min_chars), "lines")
-    probes, index = probe_rows(lines, edits), index_rows(lines, edits)
+    x, y = probe_rows(lines, edits).alias("x"), index_rows(lines, edits).alias("y")
     pairs = store(
-        probes.withColumnRenamed("id", "p").join(index, "k").where("p <> id").select(
-            F.least("p", "id").alias("a"), F.greatest("p", "id").alias("b")
+        x.join(
+            y,
+            (F.col("x.k") == F.col("y.k")) & (F.col("x.id") != F.col("y.id"))
+            & (F.bit_count(F.col("x.parities").bitwiseXOR(F.col("y.parities"))) <= 2 * edits),
+        ).select(
+            F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")
         ).distinct(),
         "line-pairs",
     )
     involved = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = store(lines.select("id", "line").join(involved, "id", "left_semi"), "line-texts")
+    texts = store(
+        perhaps_in(lines.select("id", "line"), involved).join(involved, "id", "left_semi"),
+        "line-texts",
+    )
     with_text = pairs.join(
         texts.select(F.col("id").alias("a"), F.col("line").alias("x")), "a"
     ).join(texts.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
