@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 from dataclasses import dataclass
 from decimal import Decimal
 
 from pyspark.sql import SparkSession
 
+from millwright.scratch import shared_folder
+
 RUN = "RUN"
 CHANGEOVER = "CHANGEOVER"
 MAINTENANCE = "PLANNED_DOWNTIME_PM"
@@ -49,30 +50,18 @@ DEFAULTS = Settings()
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and intermediate tables.
-
-    A cluster names it in ``spark.checkpoint.dir``. Where that is unset, a local session
-    (tests, one machine) gets a folder of its own; on a cluster that is an error.
-    """
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and context.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="millwright-")
-        if folder is None:
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(folder)
-    return context.getCheckpointDir()
+    """Shared folder for intermediate tables; see ``millwright.scratch``."""
+    return shared_folder(spark)
 
 
 def cluster_settings(input_bytes: int) -> dict[str, str]:
     """Runtime settings that size shuffles for an input; apply with ``spark.conf.set``.
 
     Adaptive execution joins small partitions and splits skewed ones, so the start may be
-    generous: one partition per 200 MB. Past the upper bound the blocks of a shuffle become
-    too many; build such inputs in months (``plans.build.refresh_months``).
+    generous: one partition per 200 MB at any size. Where the blocks of one shuffle become
+    too many, build the input in months (``plans.build.refresh_months``).
     """
-    partitions = min(max(input_bytes // (200 * 2**20), 200), 50_000)
+    partitions = max(input_bytes // (200 * 2**20), 200)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.enabled": "true",

@@ -36,15 +36,20 @@ def rounded(value: str | Column, digits: int) -> Column:
 
 
 def whole(value: str | Column, given: str) -> Column:
-    """A counter of type ``given`` as a long: fractions are rounded, halves to even.
+    """A counter of type ``given`` as a long, rounded.
+
+    Halves of decimals are rounded away from zero; those of floating columns, and of text,
+    which stands for them, to even.
 
     A NaN, which is how a missing value of a floating column arrives, becomes NULL.
     """
     counter = col(value)
     if given in ("float", "double"):
         counter = F.when(~F.isnan(counter), F.rint(counter))
-    elif given == "string" or given.startswith("decimal"):
+    elif given == "string":
         counter = F.bround(counter.cast("decimal(38,6)"), 0)
+    elif given.startswith("decimal"):
+        counter = F.round(counter, 0)
     return counter.cast("bigint")
 
 

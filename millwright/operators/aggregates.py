@@ -52,10 +52,11 @@ def measure_sums(columns: Sequence[str] = (*MINUTE_MEASURES, *COUNTERS)) -> list
 def target_output() -> Column:
     """Expected pieces for the minutes run; a row without a target adds 0.
 
-    22,6 x 15,6 digits multiply to exactly 38,12, so nothing is rounded before the sum.
+    A target keeps its declared 18,6 digits. 18,6 x 19,6 digits multiply to exactly 38,12, so
+    nothing is rounded before the sum; a day group would need 10**13 minutes to pass that.
     """
-    target = F.col("target_biscuits_per_hour").cast("decimal(15,6)")
-    run = F.col("run_time_min").cast("decimal(22,6)")
+    target = F.col("target_biscuits_per_hour").cast("decimal(18,6)")
+    run = F.col("run_time_min").cast("decimal(19,6)")
     return hours_double(F.sum(F.coalesce(target * run, F.lit(0).cast("decimal(38,12)"))))
 
 
