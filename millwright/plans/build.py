@@ -169,6 +169,7 @@ def refresh_months(
 ) -> Models:
     """Rebuild the months from ``first`` to ``last`` of stored marts, and the small marts.
 
+    Events without a start belong to no month; every refresh replaces them as a whole.
     The facts are replaced month by month, so a table far too large for one shuffle is
     built as a series of bounded jobs, and a job that failed is simply run again. The
     event fact is read back for the date dimension, the daily fact for the summaries.
@@ -183,13 +184,16 @@ def refresh_months(
             return _store_mart(df, name)
         return replace_months(df, months, name, derived=_derived(name))
 
-    part = replace(raw, raw_fact=in_days(raw.raw_fact, start, end - dt.timedelta(days=1)))
+    rows = in_days(raw.raw_fact, start, end - dt.timedelta(days=1), undated=True)
+    part = replace(raw, raw_fact=rows)
     models = Models(
         part,
         settings,
         store=store,
         view=register_view,
-        recent=lambda events: events.filter(F.col("year_month").isin(months)),
+        recent=lambda events: events.filter(
+            F.col("year_month").isin(months) | F.col("year_month").isNull()
+        ),
     )
     models.tables()
     return models
@@ -204,15 +208,17 @@ def build_scratch(
     return models
 
 
-def in_days(raw_fact: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
-    """Raw events that start within the days, both included.
+def in_days(
+    raw_fact: DataFrame, first: dt.date, last: dt.date, undated: bool = False
+) -> DataFrame:
+    """Raw events that start within the days, both included; ``undated`` adds those without one.
 
     An event belongs to its start day and repeated readings share their start, so whole
     days can be rebuilt alone; the condition reaches the scan.
     """
     end = last + dt.timedelta(days=1)
     start = F.col("startdatetime")
-    return raw_fact.filter(
-        (start >= F.lit(str(first)).cast("timestamp_ntz"))
-        & (start < F.lit(str(end)).cast("timestamp_ntz"))
+    within = (start >= F.lit(str(first)).cast("timestamp_ntz")) & (
+        start < F.lit(str(end)).cast("timestamp_ntz")
     )
+    return raw_fact.filter(within | start.isNull() if undated else within)

@@ -138,14 +138,14 @@ def replace_months(
 ) -> DataFrame:
     """Overwrite some months of a stored, month-partitioned mart with the rows of ``df``.
 
-    The months are replaced when the write commits. A month that has no rows any more
+    Rows without a month are a partition of their own, which is replaced too. The months are replaced when the write commits. A month that has no rows any more
     becomes empty.
     """
     spark = df.sparkSession
     live = layer_name(layer, table)
     if "year_month" not in df.columns:
         df = df.withColumn("year_month", year_month("date_key"))
-    df = df.filter(F.col("year_month").isin(*months))
+    df = df.filter(F.col("year_month").isin(*months) | F.col("year_month").isNull())
     if not spark.catalog.tableExists(live):
         return write_mart(df, table, layer, "year_month", derived)
     folder = _location(spark, live)
@@ -153,7 +153,10 @@ def replace_months(
     rows = df.select(*spark.table(live).columns)
     (
         _by_month(rows, derived)
-        .observe(seen, F.collect_set("year_month").alias("months"))
+        .observe(
+            seen, F.collect_set("year_month").alias("months"),
+            F.count_if(F.col("year_month").isNull()).alias("undated"),
+        )
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year_month")
@@ -162,6 +165,8 @@ def replace_months(
     nothing = rows.drop("year_month").filter(F.lit(False))
     for month in sorted(set(months) - set(seen.get["months"])):
         nothing.write.mode("overwrite").parquet(f"{folder}/year_month={month}")
+    if not seen.get["undated"]:
+        nothing.write.mode("overwrite").parquet(f"{folder}/year_month=__HIVE_DEFAULT_PARTITION__")
     spark.sql(f"MSCK REPAIR TABLE {live}")
     spark.catalog.refreshTable(live)
     return spark.table(live)

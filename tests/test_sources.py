@@ -198,7 +198,8 @@ def test_monthly_refreshes_add_up_to_a_full_build(spark):
         day = dt.date(2021, month, 15)
         stored = build.refresh_months(raw_, day, day).tables()
     late = event(RUN, 20, start=dt.datetime(2021, 6, 9), machine="M2")
-    raw_ = raw_tables(spark, [*month_rows(), late], [("M1", "P1", 50)], machines=("M1", "M2"))
+    undated = tuple(None if isinstance(v, dt.datetime) else v for v in late)
+    raw_ = raw_tables(spark, [*month_rows(), late, undated], [("M1", "P1", 50)], machines=("M1", "M2"))
     stored = build.refresh_months(raw_, dt.date(2021, 6, 9), dt.date(2021, 6, 9)).tables()
     whole = build.compose(raw_).tables()
     for name in ("fact_machine_events", "fact_oee_daily", "dim_date",
