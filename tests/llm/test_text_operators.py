@@ -483,18 +483,69 @@ def test_scores(spark, corpus, odd, empty):
     assert language.score(empty).count() == 0
 
 
-def test_spelling_is_a_distribution():
-    words = ["banana", "bandana", "ananas", "cabana"]
+def test_held_out_text_is_predicted_better_than_the_base(spark, corpus):
+    df = spark.createDataFrame(corpus, "doc_id long, text string")
+    held = language.score(df).where("held_out").toPandas()
+    assert len(held) and held.score.sum() > held.base_score.sum()
+
+
+def test_large_and_null_ids_keep_their_values(spark):
+    ids = [(1 << 62) + 1, None, (1 << 62) + 3]
+    df = spark.createDataFrame([(i, "a b a b") for i in ids], "doc_id long, text string")
+    assert sorted(r.doc_id or 0 for r in language.score(df).collect()) == sorted(
+        i or 0 for i in ids)
+
+
+def test_pairs_are_counted_over_all_groups(spark, corpus):
+    df = spark.createDataFrame(corpus, "doc_id long, text string")
+    packed, parts = language.dealt(df, "doc_id", "text")
+    told = language.pair_counts(packed, parts).toPandas()
     counts = Counter()
-    for w in words:
-        context = language.BEGIN
-        for c in [*w, language.END]:
-            counts[context, c] += 1
-            context = (context + c)[-language.ORDER :]
-    model = language.gibbs([(u, c, n) for (u, c), n in counts.items()])
-    seen = sorted({c for _, c in counts})
-    for context in ("", "a", "an", "ban", language.BEGIN, "zz"):
-        known = sum(model.character(context, c) for c in seen)
-        other = model.character(context, "Ω") * (language.CODE_POINTS - len(seen))
-        assert known + other == pytest.approx(1, abs=1e-6)
-    assert model.log10("bananas") > model.log10("xqzjkwv")
+    for i, t in corpus:
+        words = [w.encode() for w in t.split()]
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            counts.update(zip([language.BEGIN, *words], [*words, language.END]))
+    found, owners = {}, Counter()
+    for part, texts in packed.toPandas().groupby("part"):
+        group = language.Group(texts["held_out"], texts["data"])
+        for k, n in zip(group.keys, language.answers(told[told.part == part])):
+            assert found.setdefault(k, n >> 1) == n >> 1
+            owners[k] += n & 1
+    assert set(owners.values()) == {1}
+    hashes = {w: language.fingerprint(w) for pair in counts for w in pair}
+    for (u, w), n in counts.items():
+        key = language.pair_keys(np.array([hashes[u]], np.uint64), np.array([hashes[w]], np.uint64))
+        assert found[key[0]] == n
+
+
+def test_predictions_are_a_distribution():
+    rng = np.random.default_rng(3)
+    counts = rng.integers(0, 9, (6, 40)) * (rng.random((6, 40)) < 0.5)
+    keys = rng.integers(0, 1 << 63, counts.shape).astype(np.uint64)
+    customers = (counts > 0).sum(0)
+    types, total = (customers > 0).sum(), float(customers.sum())
+    parent = language.parent_probability(customers, total, types)
+    unknown = language.parent_probability(np.zeros(1), total, types)[0]
+    for n, k in zip(counts, keys):
+        t = language.resampled(1, n, k, np.full(40, (n > 0).sum()), customers, total, types)
+        assert ((t <= n) & ((t > 0) == (n > 0))).all()
+        seen = language.predictive(n, t, n.sum(), t.sum(), parent)[customers > 0].sum()
+        new = language.predictive(0, 0, n.sum(), t.sum(), unknown)
+        assert seen + new == pytest.approx(1)
+
+
+@pytest.mark.parametrize("n, new", [(12, 1.5), (12, 0.01), (200, 0.4), (200, 6.0)])
+def test_seats_follow_the_restaurant(n, new):
+    rng, discount = np.random.default_rng(4), 0.75
+
+    def one_by_one():
+        t = 1
+        for m in range(1, n):
+            t += rng.random() < new / (new + m - discount * t)
+        return t
+
+    keys = rng.integers(0, 1 << 63, 20000).astype(np.uint64)
+    drawn = language.seat(np.full(20000, n), np.full(20000, new), discount, keys, 1)
+    assert drawn.mean() == pytest.approx(np.mean([one_by_one() for _ in range(20000)]), rel=0.02)
+    again = language.seat(np.full(20000, n), np.full(20000, new), discount, keys, 1)
+    assert (drawn == again).all()
