@@ -460,6 +460,50 @@ def test_boosted_trees_on_held_out_candidates(odd, empty):
     assert pii.detect(empty, model).count() == 0
 
 
+def test_secrets_of_any_length_go_whole(spark):
+    model = pii.train()
+    rng = random.Random(21)
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    key = lambda n: "".join(rng.choice(signs) for _ in range(n))
+    values = [key(600), key(5000), f"{key(36)}.{key(800)}.{key(43)}", key(40)]
+    rows = [(i, f"use token={v} now") for i, v in enumerate(values)]
+    rows += [(10 + i, f"it reads {v} now") for i, v in enumerate(values)]
+    rows += [(20, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    new = {r.doc_id: r.text for r in pii.redact(docs, model).collect()}
+    assert new.pop(20) is None
+    assert new == {i: "use token=[SECRET] now" for i in range(4)} | {
+        10 + i: "it reads [SECRET] now" for i in range(4)}
+
+
+def test_other_number_groupings_reach_the_trees():
+    model = pii.train()
+    values = {"his ssn 123-45-6789 was": "123-45-6789", "tel: 020 7946 0958 please": "020 7946 0958",
+              "pay to DE89 3704 0044 0532 0130 00 today": "DE89 3704 0044 0532 0130 00",
+              "call 01 23 45 67 89 now": "01 23 45 67 89"}
+    for text, value in values.items():
+        begin = text.index(value)
+        assert (begin, begin + len(value), "number") in pii.candidates(text)
+        assert pii.redacted(text, pii.find_spans(text, model)[1]) == text.replace(
+            value, "[NUMBER]")
+    for text in ("order 123-45-6789 was", "on 2021-03-04 we", "a 12 34 56 78 90 table"):
+        assert pii.find_spans(text, model)[1] == []
+
+
+def test_chosen_spans_never_overlap():
+    rng = random.Random(22)
+    model = pii.Model({}, {}, 0.3, {"secret": 0.5})
+    for _ in range(200):
+        begins = [rng.randint(0, 900) for _ in range(30)]
+        spans = [(b, b + rng.randint(1, 700), "secret") for b in begins]
+        p = [rng.random() for _ in spans]
+        kept = []
+        for q, s in sorted(zip(p, spans), reverse=True):
+            if q >= 0.5 and all(s[1] <= t[0] or t[1] <= s[0] for t in kept):
+                kept.append(s)
+        assert pii.chosen_spans(spans, p, model) == kept
+
+
 # --- op10 ---------------------------------------------------------------------------
 
 
