@@ -12,7 +12,8 @@ band.
 
 Equal lines are one row from the start, with its number of copies and its first place, so a
 frequent line costs one row. Lines shorter than ``MIN_CHARS`` characters take no part. Null
-text has no lines. Rows with equal ids count as one document; a null id is ordered last.
+text has no lines. Every row is a document of its own: lines are ordered by id, null last, and
+among rows with one id by a hash of the text, then by row.
 """
 
 from __future__ import annotations
@@ -29,24 +30,33 @@ LETTERS = "etaoinsrhldcumfpgwyb"
 FILTER_WORDS = 1 << 16  # of 64 bits each: the fixed size of the filter on line ids
 
 
+ROW = "__row"  # number of a stored row
+PLACE = ("doc", "tie", "row", "line_no")
+
+
 def line_rows(docs: DataFrame, key: str, text: str, min_chars: int = 0) -> DataFrame:
-    """(doc, line_no, line) of every line, numbered from 0."""
+    """(doc, tie, row, line_no, line) of every line, numbered from 0.
+
+    ``tie`` tells rows with one id but different texts apart; ``row`` tells equal ones apart
+    where they are numbered, and is null where not.
+    """
+    row = F.col(ROW) if ROW in docs.columns else F.lit(None).cast("long")
     rows = docs.select(
-        F.col(f"`{key}`").alias("doc"),
-        F.posexplode(F.split(F.col(f"`{text}`"), "\n")).alias("line_no", "line"),
-    )
+        F.col(f"`{key}`").alias("doc"), F.xxhash64(F.col(f"`{text}`")).alias("tie"),
+        row.alias("row"), F.col(f"`{text}`").alias("text"),
+    ).select("doc", "tie", "row", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     return rows.where(F.char_length("line") >= min_chars) if min_chars else rows
 
 
 def distinct_lines(docs: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
     """One row per different line: an id, its copies and its first place."""
-    place = F.struct(F.col("doc").isNull().alias("last"), F.col("doc"), F.col("line_no"))
+    place = F.struct(F.col("doc").isNull().alias("last"), *PLACE)
     rows = line_rows(docs, key, text, min_chars)
     return (
         rows.groupBy("line").agg(F.min(place).alias("first"), F.count("*").alias("n_copies"))
         .select(
             F.monotonically_increasing_id().alias("id"), "line", "n_copies",
-            F.col("first.doc").alias("doc"), F.col("first.line_no").alias("line_no"),
+            *[F.col(f"first.{c}").alias(c) for c in PLACE],
             F.char_length("line").alias("n"), letter_parities(F.col("line")).alias("parities"),
         )
     )
@@ -238,6 +248,13 @@ def near_lines(
 
     ``kept`` marks the line that comes first in its class.
     """
+    return classed_lines(docs, edits, min_chars, key, text).drop("__first_row")
+
+
+def classed_lines(
+    docs: DataFrame, edits: int, min_chars: int, key: str, text: str
+) -> DataFrame:
+    """The rows of ``near_lines`` and the number of the row that holds the first place."""
     lines = store(distinct_lines(docs, key, text, min_chars), "lines")
     x, y = probe_rows(lines, edits).alias("x"), index_rows(lines, edits).alias("y")
     pairs = store(
@@ -263,8 +280,8 @@ def near_lines(
     counts = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(
         F.count("*").alias("n_links"))
     classes = joined.join(counts, "id")
-    place = F.struct(F.col("doc").isNull().alias("last"), F.col("doc"), F.col("line_no"))
-    linked = lines.select("id", "doc", "line_no").join(classes, "id")
+    place = F.struct(F.col("doc").isNull().alias("last"), *PLACE)
+    linked = lines.select("id", *PLACE).join(classes, "id")
     firsts = linked.groupBy("component_id").agg(F.min(place).alias("first"))
     linked = store(
         linked.join(firsts, "component_id").select("id", "n_links", "first"), "line-classes"
@@ -278,10 +295,10 @@ def near_lines(
         F.when(has, F.col("first.doc")).otherwise(F.col("doc")).alias("class_doc_id"),
         F.when(has, F.col("first.line_no")).otherwise(F.col("line_no")).alias("class_line_no"),
         F.when(
-            has, F.col("first.doc").eqNullSafe(F.col("doc"))
-            & (F.col("first.line_no") == F.col("line_no")),
+            has, F.struct(*[F.col(f"first.{c}").alias(c) for c in PLACE]).eqNullSafe(
+                F.struct(*PLACE)),
         ).otherwise(True).alias("kept"),
-        "line",
+        "line", F.col("row").alias("__first_row"),
     )
 
 
@@ -292,26 +309,28 @@ def keep_first(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHA
     Documents keep their columns and the order of their lines; those of which nothing but
     white space is left, and that had more before, go. ``length`` is counted anew.
     """
-    classes = near_lines(docs, edits, min_chars, key, text)
+    # numbers of rows hold only once they are written
+    docs = store(docs.withColumn(ROW, F.monotonically_increasing_id()), "line-docs")
+    classes = classed_lines(docs, edits, min_chars, key, text)
     # the one place at which a class of lines stays; lines without copies or links stay anyway
     gone = classes.where("n_copies > 1 or not kept").select(
-        F.xxhash64("line").alias("h"), "line", F.col(key).alias("first_doc"),
+        F.xxhash64("line").alias("h"), "line", F.col("__first_row").alias("first_row"),
         F.col("line_no").alias("first_no"), "kept",
     )
     rows = line_rows(docs, key, text, min_chars).withColumn("h", F.xxhash64("line"))
     hit = rows.join(gone, ["h", "line"]).where(
-        ~(F.col("kept") & F.col("doc").eqNullSafe(F.col("first_doc"))
+        ~(F.col("kept") & (F.col("row") == F.col("first_row"))
           & (F.col("line_no") == F.col("first_no")))
     )
-    per_doc = hit.groupBy("doc").agg(F.collect_set("line_no").alias("gone"))
+    per_doc = hit.groupBy("row").agg(F.collect_set("line_no").alias("gone"))
     name = F.col(f"`{text}`")
-    joined = docs.join(per_doc, F.col(f"`{key}`").eqNullSafe(F.col("doc")), "left")
+    joined = docs.join(per_doc, docs[ROW] == per_doc["row"], "left")
     left = F.concat_ws("\n", F.filter(
         F.split(name, "\n"), lambda line, i: ~F.array_contains(F.col("gone"), i)))
     done = joined.withColumn("__new", F.when(F.col("gone").isNull(), name).otherwise(left))
     stays = F.col("gone").isNull() | F.col("__new").rlike(r"[^\s]")
     columns = []
-    for f in docs.schema:
+    for f in docs.drop(ROW).schema:
         c = F.col(f"`{f.name}`")
         if f.name == text:
             c = F.col("__new")

@@ -16,8 +16,8 @@ the start, rank at half the length further on). Every start but the first of its
 removed with the bytes it covers.
 
 Long texts are read in overlapping segments, which only cuts runs: starts, and hence results,
-stay the same. Null text counts as empty. Rows with equal ids count as versions of one
-document: a string at the same start of two versions is one position.
+stay the same. Null text counts as empty. Every row is a document of its own, numbered when its
+text is stored; positions are ordered by id, null last, then by row.
 """
 
 from __future__ import annotations
@@ -111,7 +111,7 @@ def runs(pieces: list[bytes], length: int) -> tuple[np.ndarray, ...]:
 
 
 def sampled_runs(docs: DataFrame, length: int) -> DataFrame:
-    """(g, h, id, at, done): rank pair of each run, its document, start and size in ``at``.
+    """(g, h, id, row, at, done): rank pair of each run, its document, start and size in ``at``.
 
     A pair that one batch holds twice is decided there (``done``) and leaves as a row without
     rank, so a passage that many documents share sends one row per batch to its partition.
@@ -119,48 +119,47 @@ def sampled_runs(docs: DataFrame, length: int) -> DataFrame:
 
     def make():
         gc.disable()
+        unpack = zstandard.ZstdDecompressor().decompress
 
-        def flush(ids, starts, pieces):
+        def flush(ids, rows, starts, pieces):
             piece, at, count, g, h = runs(pieces, length)
-            return np.array(ids)[piece], at + np.array(starts)[piece], count, g, h
-
-        def work(ids, texts):
-            parts, held, size = [], ([], [], []), 0
-            for i, t in zip(ids, texts):
-                for start, raw in segments(t.encode() if t else b"", length):
-                    for column, value in zip(held, (i, start, raw)):
+            ids, rows, starts = (np.array(x)[piece] for x in (ids, rows, starts))
+            return ids, rows, at + starts, count, g, h
+
+        def work(ids, rows, datas):
+            parts, held, size = [], ([], [], [], []), 0
+            for i, row, data in zip(ids, rows, datas):
+                for start, raw in segments(unpack(data), length):
+                    for column, value in zip(held, (i, row, start, raw)):
                         column.append(value)
                     size += len(raw)
                     if size >= SEGMENT:
                         parts.append(flush(*held))
-                        held, size = ([], [], []), 0
+                        held, size = ([], [], [], []), 0
             if size:
                 parts.append(flush(*held))
             if not parts:
-                return {n: [] for n in ("g", "h", "id", "at", "done")}
-            doc, at, count, g, h = map(np.concatenate, zip(*parts))
-            order = np.lexsort((at, doc, h, g))
-            g, h, doc = g[order], h[order], doc[order]
+                return {n: [] for n in ("g", "h", "id", "row", "at", "done")}
+            doc, row, at, count, g, h = map(np.concatenate, zip(*parts))
+            order = np.lexsort((at, row, doc, h, g))
+            g, h, doc, row = g[order], h[order], doc[order], row[order]
             at = (at[order] << RUN_BITS) + count[order]
             done = np.zeros(len(g), bool)
             done[1:] = (g[1:] == g[:-1]) & (h[1:] == h[:-1])
-            # equal ids and starts are one position
-            same = np.zeros(len(g), bool)
-            same[1:] = done[1:] & (doc[1:] == doc[:-1]) & (at[1:] == at[:-1])
-            g = np.where(done, mixed(doc.astype(np.uint64)), g)
-            keep = ~same
-            columns = (g.view(np.int64), h.view(np.int64), doc, at, done)
-            return dict(zip(("g", "h", "id", "at", "done"), (c[keep] for c in columns)))
+            g = np.where(done, mixed(row.astype(np.uint64)), g)
+            columns = (g.view(np.int64), h.view(np.int64), doc, row, at, done)
+            return dict(zip(("g", "h", "id", "row", "at", "done"), columns))
 
         return work
 
     return map_rows(
-        docs, ["id", "text"], "g bigint, h bigint, id bigint, at bigint, done boolean", make
+        docs, ["id", "row", "data"],
+        "g bigint, h bigint, id bigint, row bigint, at bigint, done boolean", make,
     )
 
 
 def decide(sorted_runs: DataFrame) -> DataFrame:
-    """(id, at, open): runs that repeat as a whole, and runs that stay open.
+    """(row, at, open): runs that repeat as a whole, and runs that stay open.
 
     Rows come sorted by rank pair and position. Only the last sample and its first run are
     carried from batch to batch, so a frequent sample needs no memory.
@@ -206,27 +205,27 @@ def decide(sorted_runs: DataFrame) -> DataFrame:
                     out_open.append(np.full(len(rows), state))
                 last = (g[-1], h[-1], doc[-1], at[-1])
             yield pa.RecordBatch.from_pydict({
-                "id": np.concatenate(out_doc), "at": np.concatenate(out_at),
+                "row": np.concatenate(out_doc), "at": np.concatenate(out_at),
                 "open": np.concatenate(out_open),
             })
 
-    return sorted_runs.select("g", "h", "id", "at", "done").mapInArrow(
-        make_rows, "id bigint, at bigint, open boolean"
+    return sorted_runs.select("g", "h", "row", "at", "done").mapInArrow(
+        make_rows, "row bigint, at bigint, open boolean"
     )
 
 
 def open_starts(texts: DataFrame, found: DataFrame, length: int) -> DataFrame:
-    """(r, id, at): every start of the open runs with its rank pair at the full length."""
-    per_doc = found.where("open").groupBy("id").agg(F.collect_list("at").alias("runs"))
-    joined = texts.join(per_doc, "id").select("id", "data", "runs")
+    """(r, id, row, at): every start of the open runs with its rank pair at the full length."""
+    per_doc = found.where("open").groupBy("row").agg(F.collect_list("at").alias("runs"))
+    joined = texts.join(per_doc, "row").select("id", "row", "data", "runs")
     half = length // 2
 
     def make():
         unpack = zstandard.ZstdDecompressor().decompress
 
-        def work(ids, datas, lists):
-            out = {"r": [], "id": [], "at": []}
-            for i, data, packed in zip(ids, datas, lists):
+        def work(ids, rows, datas, lists):
+            out = {"r": [], "id": [], "row": [], "at": []}
+            for i, row, data, packed in zip(ids, rows, datas, lists):
                 raw = unpack(data)
                 packed = np.sort(np.array(packed, np.int64))
                 starts, counts = packed >> RUN_BITS, packed & ((1 << RUN_BITS) - 1)
@@ -250,15 +249,18 @@ def open_starts(texts: DataFrame, found: DataFrame, length: int) -> DataFrame:
                             out["r"].append(pair[at].view(np.int64))
                             out["at"].append(at + base)
                             out["id"].append(np.full(len(at), i))
+                            out["row"].append(np.full(len(at), row))
             return {n: np.concatenate(v) if v else [] for n, v in out.items()}
 
         return work
 
-    return map_rows(joined, ["id", "data", "runs"], "r bigint, id bigint, at bigint", make)
+    return map_rows(
+        joined, ["id", "row", "data", "runs"], "r bigint, id bigint, row bigint, at bigint", make
+    )
 
 
 def repeated_starts(sorted_starts: DataFrame) -> DataFrame:
-    """(id, at): starts that are not the first of their rank; rows come sorted by rank."""
+    """(row, at): starts that are not the first of their rank; rows come sorted by rank."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = first = None
@@ -279,9 +281,9 @@ def repeated_starts(sorted_starts: DataFrame) -> DataFrame:
                 head_doc[group < 0], head_at[group < 0] = first
             repeat = ~new & ((doc != head_doc) | (at != head_at))
             last, first = r[-1], (head_doc[-1], head_at[-1])
-            yield pa.RecordBatch.from_pydict({"id": doc[repeat], "at": at[repeat]})
+            yield pa.RecordBatch.from_pydict({"row": doc[repeat], "at": at[repeat]})
 
-    return sorted_starts.select("r", "id", "at").mapInArrow(rows, "id bigint, at bigint")
+    return sorted_starts.select("r", "row", "at").mapInArrow(rows, "row bigint, at bigint")
 
 
 def merged(begins: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
@@ -300,33 +302,34 @@ def remove_repeats(
     """One row per document: its key, n_bytes, n_removed, n_spans and kept_sha256."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     id_column = F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(2**62))
-    plain = docs.select(id_column.alias("id"), F.col(f"`{text}`").alias("text"))
-    ranked = sampled_runs(plain, length).repartition(n, "g").sortWithinPartitions(
-        "g", "h", "id", "at"
-    )
-    found = store(decide(ranked), "runs")
-
     def pack():
         squeeze = zstandard.ZstdCompressor(level=1).compress
 
-        def work(ids, keys, texts):
-            return {"id": ids, "key": keys, "data": [squeeze((t or "").encode()) for t in texts]}
+        def work(ids, rows, keys, texts):
+            datas = [squeeze((t or "").encode()) for t in texts]
+            return {"id": ids, "row": rows, "key": keys, "data": datas}
 
         return work
 
     kind = docs.schema[key].dataType.simpleString()
+    # numbers of rows hold only once they are written
+    packed = store(map_rows(
+        docs.select(id_column.alias("id"), F.monotonically_increasing_id().alias("row"),
+                    F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")),
+        ["id", "row", "key", "text"], f"id bigint, row bigint, key {kind}, data binary", pack,
+    ), "packed")
+    ranked = sampled_runs(packed, length).repartition(n, "g").sortWithinPartitions(
+        "g", "h", "id", "row", "at"
+    )
+    found = store(decide(ranked), "runs")
     # dealt by document once, for both joins
-    texts = map_rows(
-        docs.select(id_column.alias("id"), F.col(f"`{key}`").alias("key"),
-                    F.col(f"`{text}`").alias("text")),
-        ["id", "key", "text"], f"id bigint, key {kind}, data binary", pack,
-    ).repartition(n, "id").persist(StorageLevel.MEMORY_AND_DISK)
+    texts = packed.repartition(n, "row").persist(StorageLevel.MEMORY_AND_DISK)
     starts = open_starts(texts, found, length).repartition(n, "r").sortWithinPartitions(
-        "r", "id", "at"
+        "r", "id", "row", "at"
     )
-    single = repeated_starts(starts).select("id", ((F.col("at") * 2**RUN_BITS) + 1).alias("at"))
-    removed = found.where("not open").select("id", "at").unionByName(single)
-    per_doc = removed.groupBy("id").agg(F.collect_list("at").alias("runs"))
+    single = repeated_starts(starts).select("row", ((F.col("at") * 2**RUN_BITS) + 1).alias("at"))
+    removed = found.where("not open").select("row", "at").unionByName(single)
+    per_doc = removed.groupBy("row").agg(F.collect_list("at").alias("runs"))
 
     def cut():
         unpack = zstandard.ZstdDecompressor().decompress
@@ -352,11 +355,11 @@ def remove_repeats(
         return work
 
     result = store(map_rows(
-        texts.join(per_doc, "id", "left").select("key", "data", "runs"),
+        texts.join(per_doc, "row", "left").select("key", "data", "runs"),
         ["key", "data", "runs"],
         f"{key} {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
         cut,
     ), "kept")
     texts.unpersist()
-    drop(found)
+    drop(found, packed)
     return result

@@ -268,6 +268,16 @@ def test_lines_on_odd_rows(odd, empty):
     assert lines.keep_first(odd).columns == odd.columns
 
 
+def test_rows_of_one_id_keep_their_own_lines(spark):
+    a, b, c, d = (f"{w} is a line of its own, with more words" for w in "alpha beta gamma delta".split())
+    rows = [(1, f"{a}\n{b}"), (7, f"x\n{a}"), (7, f"y\n{c}"), (7, f"y\n{c}"), (None, f"{a}\nq"),
+            (None, f"{d}\nr")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = sorted((str(r.doc_id), r.text) for r in lines.keep_first(df).collect())
+    assert left == sorted([("1", f"{a}\n{b}"), ("7", "x"), ("7", f"y\n{c}"), ("7", "y"),
+                           ("None", "q"), ("None", f"{d}\nr")])
+
+
 # --- op5 ----------------------------------------------------------------------------
 
 
@@ -413,6 +423,17 @@ def test_repeats_against_all_starts(spark, corpus, empty):
     assert suffixes.remove_repeats(empty).count() == 0
 
 
+def test_rows_of_one_id_keep_their_own_bytes(spark):
+    rng = random.Random(9)
+    a, b, c, d = ("".join(rng.choice("abcdefghij") for _ in range(150)) for _ in range(4))
+    rows = [(1, a), (7, a + b), (7, c), (7, c), (None, "x" + d), (None, "y" + a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = sorted((str(r.doc_id), r.n_bytes, r.n_removed)
+                   for r in suffixes.remove_repeats(df).collect())
+    assert found == sorted([("1", 150, 0), ("7", 300, 150), ("7", 150, 0), ("7", 150, 150),
+                            ("None", 151, 0), ("None", 151, 150)])
+
+
 def test_segments_change_no_start(monkeypatch):
     raw = ("abcdefghij" * 300 + "z" * 500).encode()
     monkeypatch.setattr(suffixes, "SEGMENT", 256)
