@@ -4,7 +4,10 @@ A page is read as a sequence of words and tags. Words score above zero and tags
 what they are and where they stand; one linear scan finds the contiguous region of the highest
 sum, and the blocks that reach into it are the article. Words inside elements that are never
 part of an article (menus, side bars, forms, adverts, comments and so on) score a little below
-zero, so that a region may run past them, and are left out of its text.
+zero, so that a region may run past them, and are left out of its text. A form, and an element
+that only its class, id or role names so, is spared and scored like any other where it holds most
+of the page's words and no first heading and paragraph stand elsewhere, where it holds these
+itself, or where its id is only the anchor of its heading.
 
 Weights are log odds counted on labelled pages: those that mark their article with an
 ``article`` or ``main`` element. The sample is bounded (``SAMPLE`` pages of at most
@@ -47,6 +50,8 @@ BESIDE = set(
     " pagination popup promo promoted promotion recommended related replies respond search share"
     " sharing sidebar signup skip social sponsor sponsored subscribe toolbar topbar widget".split()
 )
+# Words that stay beside the article where they are also the heading of their part.
+ANSWERS = set("comment comments disqus replies respond".split())
 LAYOUT = set("has with no without is".split())  # "has-sidebar" is about the page, not a part
 
 TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)>?")
@@ -54,20 +59,37 @@ ATTRIBUTE = re.compile(r"(?i)\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|(
 HIDDEN = re.compile(r"(?i)(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*.?true")
 
 
-def beside(name: str, attributes: str) -> bool:
-    """Whether an element is never part of an article."""
-    if name in OUTSIDE:
-        return True
+def beside(name: str, attributes: str) -> str:
+    """Whether an element is "never" part of an article, or only "named" so, or else empty."""
+    if name in OUTSIDE and name != "form":
+        return "never"
     if not attributes or name in ("html", "body", "article", "main"):
-        return False
+        return "named" if name == "form" else ""
     if HIDDEN.search(attributes):
-        return True
+        return "never"
+    if name == "form":
+        return "named"
     for m in ATTRIBUTE.finditer(attributes):
         for token in (m[2] or m[3] or m[4] or "").lower().split():
             words = re.split(r"[^a-z]+", token)
             if words[0] not in LAYOUT and not BESIDE.isdisjoint(words):
-                return True
-    return False
+                return "named"
+    return ""
+
+
+def slug(value: str) -> str:
+    return "-".join(re.findall(r"[^\W_]+", value.lower()))
+
+
+def anchor(attributes: str) -> str:
+    """The id of an element whose class and role do not name it beside the article."""
+    found = ""
+    for m in ATTRIBUTE.finditer(attributes):
+        if m[1].lower() == "id":
+            found = slug(m[2] or m[3] or m[4] or "")
+        elif beside("div", m[0]):
+            return ""
+    return "" if not ANSWERS.isdisjoint(found.split("-")) else found
 
 
 @dataclass
@@ -92,9 +114,16 @@ class Page:
 class Reader:
     """Reads a page once, left to right; markup may be broken or cut off."""
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, spared: frozenset[int] = frozenset()):
         self.source, self.page = source, Page()
-        self.stack: list[tuple[str, bool]] = []  # open elements, and whether beside
+        self.spared = spared  # numbers of elements that are not left out for their names
+        self.started = 0
+        self.never = 0  # open elements that are never part of an article
+        self.words = Counter()  # so far, outside those: all, and in links
+        self.heads: list[str] = []
+        self.named: dict[int, tuple] = {}  # by depth: open elements that are named beside
+        self.held: list[tuple] = []  # what closed ones hold
+        self.stack: list[tuple[str, tuple[bool, bool]]] = []  # open elements, and whether beside or never inside
         self.open = Counter()
         self.beside = 0
         self.block: Block | None = None
@@ -132,8 +161,19 @@ class Reader:
                 self.token("t:raw", 0)
             else:
                 self.start(name, m[3])
+        while self.stack:
+            self.pop()
         return self.page
 
+    def to_spare(self) -> frozenset[int]:
+        """Numbers of the named elements that hold the article or a part of it."""
+        every = self.words
+        return frozenset(
+            number for number, id_, words, links, h1, p, head in self.held
+            if (2 * words > every["all"] and (h1 == every["h1"] or p == every["p"])) or (h1 and p)
+            or (id_ and id_ == slug(head) and 2 * links < words)
+        )
+
     def token(self, kind: str, size: int) -> None:
         self.page.kinds.append(kind)
         self.page.sizes.append(size)
@@ -148,7 +188,12 @@ class Reader:
 
     def start(self, name: str, attributes: str) -> None:
         self.border(name)
-        out = beside(name, attributes) or (name == "header" and not self.in_article())
+        how = beside(name, attributes)
+        if name == "header" and not self.in_article():
+            how = "never"
+        self.started += 1
+        number = self.started
+        out = bool(how) and not (how == "named" and number in self.spared)
         self.token("t:beside" if out or self.beside else "t:" + name, 0)
         if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and self.open[name]:
             self.close_item(name)
@@ -158,20 +203,36 @@ class Reader:
             self.end("head")
         if name in VOID or attributes.endswith("/"):
             return
-        self.push(name, out)
+        if how == "named":
+            self.named[len(self.stack)] = (
+                number, anchor(attributes), self.words["all"], self.words["links"],
+                self.words["h1"], self.words["p"], len(self.heads),
+            )
+        self.push(name, out, how == "never")
+        if name in HEADINGS:
+            self.heads.append("")
+        if name in ("h1", "p") and not self.never:
+            self.words[name] += 1
 
     def in_article(self) -> bool:
         return bool(self.open["article"] or self.open["main"])
 
-    def push(self, name: str, out: bool) -> None:
-        self.stack.append((name, out))
+    def push(self, name: str, out: bool, never: bool) -> None:
+        self.stack.append((name, (out, never)))
         self.open[name] += 1
         self.beside += out
+        self.never += never
 
     def pop(self) -> str:
-        name, out = self.stack.pop()
+        name, (out, never) = self.stack.pop()
         self.open[name] -= 1
         self.beside -= out
+        self.never -= never
+        if since := self.named.pop(len(self.stack), None):
+            number, id_, *counts, head = since
+            now = [self.words[k] for k in ("all", "links", "h1", "p")]
+            heading = self.heads[head] if head < len(self.heads) else ""
+            self.held.append((number, id_, *(b - a for a, b in zip(counts, now)), heading))
         return name
 
     def close_item(self, name: str) -> None:
@@ -199,6 +260,11 @@ class Reader:
             if self.block:
                 self.block.pieces.append(" ")
             return
+        if not self.never:
+            self.words["all"] += words
+            self.words["links"] += words if self.open["a"] else 0
+        if self.heads and any(self.open[h] for h in HEADINGS):
+            self.heads[-1] += value
         self.token(self.word_kind(), words)
         here = len(self.page.kinds) - 1
         out = self.beside > 0
@@ -220,6 +286,14 @@ class Reader:
         return "w:body"
 
 
+def read_page(source: str) -> Page:
+    """The page, read again where elements are to be spared."""
+    reader = Reader(source)
+    page = reader.read()
+    spared = reader.to_spare()
+    return Reader(source, spared).read() if spared else page
+
+
 # Weights before any page is seen, by group.
 PRIOR = {"w:beside": -0.1, "t:beside": -0.1, "w:a": 0.05, "w": 0.3, "t": -0.3}
 MILD = set("p br b i em strong span a h1 h2 h3 h4 h5 h6 blockquote ul ol li pre code img".split())
@@ -244,7 +318,7 @@ def train(pages: list[str]) -> Weights:
     """Log odds of each kind of token inside an article mark against outside."""
     inside, outside = Counter(), Counter()
     for source in pages:
-        page = Reader(source).read()
+        page = read_page(source)
         for kind, size, mark in zip(page.kinds, page.sizes, page.marks):
             (inside if mark else outside)[kind] += max(size, 1)
     weights = Weights()
@@ -275,7 +349,7 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 def main_text(source: str | None, weights: Weights) -> str:
     if not source:
         return ""
-    page = Reader(source).read()
+    page = read_page(source)
     of = {kind: weights.of(kind) for kind in set(page.kinds)}
     begin, end = best_region([of[k] * (n or 1) for k, n in zip(page.kinds, page.sizes)])
     blocks = (

@@ -335,6 +335,26 @@ def test_extraction(spark):
         extraction.main_text(broken, weights)
 
 
+@pytest.mark.parametrize("wrapper", [
+    "div class='content-sidebar-wrap'", "div class=page-with-sidebar", "form id=aspnetForm"])
+def test_wrappers_named_beside_keep_their_article(wrapper):
+    inner = PAGE[PAGE.index("<header>") : PAGE.index("</body>")]
+    page = f"<html><body><{wrapper}>{inner}</{wrapper.split()[0]}></body></html>"
+    weights = extraction.train([])
+    assert extraction.main_text(page, weights) == extraction.main_text(PAGE, weights) != ""
+
+
+def test_sections_named_by_their_heading_stay():
+    prose = "<p>" + "some words of a long article " * 8 + "</p>"
+    page = (f"<body><div><h1>A paper</h1>{prose}<section id='related-work'><h2>Related work</h2>"
+            f"{prose}</section><h2 id=search>Search</h2>{prose}<div class=related><h2>Related</h2>"
+            f"<a href=x>Another page</a></div></div><section id=comments><h2>Comments</h2>"
+            f"<p>Nice article</p></section></body>")
+    text = extraction.main_text(page, extraction.train([])).split("\n")
+    line = ("some words of a long article " * 8).strip()
+    assert text == ["A paper", line, "Related work", line, "Search", line]
+
+
 def test_region_against_all_regions():
     rng = random.Random(8)
     for _ in range(200):
