@@ -27,7 +27,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every class of near-equal lines the first stays; emptied documents go."""
-    return lines.keep_first(docs)
+    return lines.keep_first(docs, short=True)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

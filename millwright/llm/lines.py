@@ -1,6 +1,7 @@
 """Near-duplicate lines: a segment-partition edit join, with DataFrame functions only.
 
-Lines within ``MAX_EDITS`` edits of each other are linked. A line is cut into
+Lines within ``MAX_EDITS`` edits of each other are linked, and within ``LONG_EDITS`` where the
+longer has ``LONG_CHARS`` characters or more. A line is cut into
 ``MAX_EDITS + 1`` segments of even length. A longer or equally long line within the threshold
 holds at least one of them unchanged, at a place that can be off by few characters only; so
 each line probes the segment index of every length it could match with those of its substrings
@@ -11,7 +12,8 @@ which one machine word holds the vertical differences of the 2 * MAX_EDITS + 1 c
 band.
 
 Equal lines are one row from the start, with its number of copies and its first place, so a
-frequent line costs one row. Lines shorter than ``MIN_CHARS`` characters take no part. Null
+frequent line costs one row. Lines shorter than ``MIN_CHARS`` characters are not compared; with
+``short`` their exact copies count, save those of blank lines. Null
 text has no lines. Every row is a document of its own: lines are ordered by id, null last, and
 among rows with one id by a hash of the text, then by row.
 """
@@ -26,6 +28,7 @@ from millwright.scratch import drop, store
 
 MAX_EDITS = 1
 MIN_CHARS = 20
+LONG_EDITS, LONG_CHARS = 2, 200
 LETTERS = "etaoinsrhldcumfpgwyb"
 FILTER_WORDS = 1 << 16  # of 64 bits each: the fixed size of the filter on line ids
 
@@ -34,7 +37,9 @@ ROW = "__row"  # number of a stored row
 PLACE = ("doc", "tie", "row", "line_no")
 
 
-def line_rows(docs: DataFrame, key: str, text: str, min_chars: int = 0) -> DataFrame:
+def line_rows(
+    docs: DataFrame, key: str, text: str, min_chars: int = 0, short: bool = False
+) -> DataFrame:
     """(doc, tie, row, line_no, line) of every line, numbered from 0.
 
     ``tie`` tells rows with one id but different texts apart; ``row`` tells equal ones apart
@@ -45,13 +50,18 @@ def line_rows(docs: DataFrame, key: str, text: str, min_chars: int = 0) -> DataF
         F.col(f"`{key}`").alias("doc"), F.xxhash64(F.col(f"`{text}`")).alias("tie"),
         row.alias("row"), F.col(f"`{text}`").alias("text"),
     ).select("doc", "tie", "row", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return rows.where(F.char_length("line") >= min_chars) if min_chars else rows
+    if not min_chars:
+        return rows
+    takes_part = F.char_length("line") >= min_chars
+    return rows.where(takes_part | F.col("line").rlike(r"[^\s]") if short else takes_part)
 
 
-def distinct_lines(docs: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
+def distinct_lines(
+    docs: DataFrame, key: str, text: str, min_chars: int, short: bool
+) -> DataFrame:
     """One row per different line: an id, its copies and its first place."""
     place = F.struct(F.col("doc").isNull().alias("last"), *PLACE)
-    rows = line_rows(docs, key, text, min_chars)
+    rows = line_rows(docs, key, text, min_chars, short)
     return (
         rows.groupBy("line").agg(F.min(place).alias("first"), F.count("*").alias("n_copies"))
         .select(
@@ -240,23 +250,10 @@ def perhaps_in(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return kept.where(F.expr("shiftrightunsigned(bits, place) & 1 = 1")).select(*rows.columns)
 
 
-def near_lines(
-    docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, key: str = "doc_id",
-    text: str = "text",
-) -> DataFrame:
-    """One row per different line: line, first place, n_copies, n_links, and its class's place.
-
-    ``kept`` marks the line that comes first in its class.
-    """
-    return classed_lines(docs, edits, min_chars, key, text).drop("__first_row")
-
-
-def classed_lines(
-    docs: DataFrame, edits: int, min_chars: int, key: str, text: str
-) -> DataFrame:
-    """The rows of ``near_lines`` and the number of the row that holds the first place."""
-    lines = store(distinct_lines(docs, key, text, min_chars), "lines")
-    x, y = probe_rows(lines, edits).alias("x"), index_rows(lines, edits).alias("y")
+def linked_pairs(lines: DataFrame, edits: int, longer: int = 0) -> DataFrame:
+    """(a, b): pairs within ``edits`` whose longer line has at least ``longer`` characters."""
+    x = probe_rows(lines.where(F.col("n") >= longer), edits).alias("x")
+    y = index_rows(lines, edits).alias("y")
     pairs = store(
         x.join(
             y,
@@ -276,6 +273,36 @@ def classed_lines(
         texts.select(F.col("id").alias("a"), F.col("line").alias("x")), "a"
     ).join(texts.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
     links = store(within(with_text, edits), "line-links")
+    drop(pairs, texts)
+    return links
+
+
+def near_lines(
+    docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, key: str = "doc_id",
+    text: str = "text", short: bool = False,
+) -> DataFrame:
+    """One row per different line: line, first place, n_copies, n_links, and its class's place.
+
+    ``kept`` marks the line that comes first in its class.
+    """
+    return classed_lines(docs, edits, min_chars, key, text, short).drop("__first_row")
+
+
+def classed_lines(
+    docs: DataFrame, edits: int, min_chars: int, key: str, text: str, short: bool
+) -> DataFrame:
+    """The rows of ``near_lines`` and the number of the row that holds the first place."""
+    lines = store(distinct_lines(docs, key, text, min_chars, short), "lines")
+    compared = lines.where(F.col("n") >= min_chars)
+    if edits < LONG_EDITS:
+        # the longer line of a pair decides, so no pair is met twice
+        few = linked_pairs(compared.where(F.col("n") < LONG_CHARS), edits)
+        more = linked_pairs(compared.where(F.col("n") >= LONG_CHARS - LONG_EDITS), LONG_EDITS,
+                            LONG_CHARS)
+        links = store(few.unionByName(more), "line-links")
+        drop(few, more)
+    else:
+        links = linked_pairs(compared, edits)
     joined = components(links)
     counts = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(
         F.count("*").alias("n_links"))
@@ -288,7 +315,7 @@ def classed_lines(
     )
     out = lines.join(linked, "id", "left")
     has = F.col("first").isNotNull()
-    drop(pairs, texts, links)
+    drop(links)
     return out.select(
         F.col("doc").alias(key), "line_no", "n_copies",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
@@ -303,7 +330,8 @@ def classed_lines(
 
 
 def keep_first(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS,
-               key: str = "doc_id", text: str = "text", length: str = "n_chars") -> DataFrame:
+               key: str = "doc_id", text: str = "text", length: str = "n_chars",
+               short: bool = False) -> DataFrame:
     """The documents without lines whose class has an earlier line.
 
     Documents keep their columns and the order of their lines; those of which nothing but
@@ -311,13 +339,13 @@ def keep_first(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHA
     """
     # numbers of rows hold only once they are written
     docs = store(docs.withColumn(ROW, F.monotonically_increasing_id()), "line-docs")
-    classes = classed_lines(docs, edits, min_chars, key, text)
+    classes = classed_lines(docs, edits, min_chars, key, text, short)
     # the one place at which a class of lines stays; lines without copies or links stay anyway
     gone = classes.where("n_copies > 1 or not kept").select(
         F.xxhash64("line").alias("h"), "line", F.col("__first_row").alias("first_row"),
         F.col("line_no").alias("first_no"), "kept",
     )
-    rows = line_rows(docs, key, text, min_chars).withColumn("h", F.xxhash64("line"))
+    rows = line_rows(docs, key, text, min_chars, short).withColumn("h", F.xxhash64("line"))
     hit = rows.join(gone, ["h", "line"]).where(
         ~(F.col("kept") & (F.col("row") == F.col("first_row"))
           & (F.col("line_no") == F.col("first_no")))

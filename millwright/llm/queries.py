@@ -37,7 +37,7 @@ def _(spark, sf_dir):
 
 @query("op4_segment_lines")
 def _(spark, sf_dir):
-    return lines.near_lines(documents(spark, sf_dir)).drop("line")
+    return lines.near_lines(documents(spark, sf_dir), short=True).drop("line")
 
 
 @query("op5_transducer_bpe")

@@ -278,6 +278,19 @@ def test_rows_of_one_id_keep_their_own_lines(spark):
                            ("None", "q"), ("None", f"{d}\nr")])
 
 
+def test_long_lines_and_short_copies(spark):
+    rng = random.Random(4)
+    long = "".join(rng.choice("abcdefgh ") for _ in range(200))
+    two = "Q" + long[1:120] + "Z" + long[121:]
+    shorter = long[:50] + long[52:]  # 198 characters: the longer line decides
+    three = "QQQ" + long[3:]
+    rows = [(1, f"{long}\nRead more"), (2, f"{two}\nown"), (3, f"Read more\n\n{shorter}\nx y"),
+            (4, f"{three}\n\nRead more\nend")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {r.doc_id: r.text for r in lines.keep_first(df, short=True).collect()}
+    assert left == {1: f"{long}\nRead more", 2: "own", 3: "\nx y", 4: f"{three}\n\nend"}
+
+
 # --- op5 ----------------------------------------------------------------------------
 
 
