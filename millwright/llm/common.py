@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,3 +51,22 @@ def map_rows(
                 yield pa.RecordBatch.from_pydict(found, schema=arrow)
 
     return df.select(*[F.col(f"`{c}`") for c in columns]).mapInArrow(run, schema)
+
+
+def text_slices(
+    batches: Iterator[pa.RecordBatch], column: str, limit: int
+) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut so that a slice has about ``limit`` bytes of a string column.
+
+    Slices share the batch's memory, so a task turns few texts into Python objects at a time.
+    """
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(
+            zero_copy_only=False
+        )
+        part = (np.cumsum(sizes, dtype=np.int64) - sizes) // limit
+        begins = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for begin, end in zip(begins, begins[1:]):
+            yield batch.slice(begin, end - begin)

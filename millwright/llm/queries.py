@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from millwright.llm import (
-    bpe, embeddings, extraction, language, lines, minhash, packing, pii, quality, suffixes,
+    bpe, embeddings, extraction, language, lines, minhash, packing, passages, pii, quality,
+    suffixes,
 )
 from millwright.llm.common import documents, vocabulary_path
 
@@ -70,4 +71,9 @@ def _(spark, sf_dir):
     return language.score(documents(spark, sf_dir))
 
 
+@query("op11_doubling_passages")
+def _(spark, sf_dir):
+    return passages.remove_repeats(documents(spark, sf_dir), keep_text=False)
+
+
 ORACLE_SQL = {}
