@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from millwright.llm import (
-    bpe, embeddings, extraction, language, lines, minhash, packing, passages, pii, quality,
-    suffixes,
+    bpe, codes, embeddings, extraction, language, lines, minhash, packing, passages, pii,
+    quality, suffixes,
 )
 from millwright.llm.common import documents, vocabulary_path
 
@@ -76,4 +76,9 @@ def _(spark, sf_dir):
     return passages.remove_repeats(documents(spark, sf_dir), keep_text=False)
 
 
+@query("op12_net_bound_codes")
+def _(spark, sf_dir):
+    return codes.code_table(documents(spark, sf_dir, "embeddings"))
+
+
 ORACLE_SQL = {}
