@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from millwright.llm import (
-    bpe, codes, embeddings, extraction, language, lines, minhash, packing, passages, pii,
-    quality, suffixes,
+    bpe, codes, embeddings, extraction, language, lines, minhash, packing, passages, phrases,
+    pii, quality, suffixes,
 )
 from millwright.llm.common import documents, vocabulary_path
 
@@ -81,4 +81,9 @@ def _(spark, sf_dir):
     return codes.code_table(documents(spark, sf_dir, "embeddings"))
 
 
+@query("op13_quotient_phrases")
+def _(spark, sf_dir):
+    return phrases.collocations(documents(spark, sf_dir))
+
+
 ORACLE_SQL = {}
