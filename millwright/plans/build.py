@@ -3,20 +3,26 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import replace
-from functools import cached_property
+from functools import cached_property, partial
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwright.config import DEFAULTS, Settings
 from millwright.functions.calendar import date_spine_of
 from millwright.functions.keys import surrogate_key
-from millwright.plans import intermediate, marts, staging
+from millwright.functions.status import event_day
+from millwright.plans import intermediate, marts, rollup, staging
+from millwright.plans.views import LAYERS, create_views
 from millwright.schemas import EVENT_KEY
+from millwright.sources import event_store
+from millwright.sources.load import stored_raw
 from millwright.sources.raw import RawTables
-from millwright.sources.tables import materialize, register_view, replace_months, write_mart
+from millwright.sources.tables import (
+    MARTS, RAW, STAGING, layer_of, materialize, register_view, replace_months, write_mart,
+)
 
 Keep = Callable[[DataFrame, str], DataFrame]
 
@@ -40,8 +46,11 @@ class Models:
     ``store`` is applied to each mart and ``view`` to each view-like model. With a
     ``store`` that writes, the deduplication exchange runs once: the daily aggregate
     reads the stored event fact, which carries all columns it needs, or the part of it
-    that ``recent`` selects. Without a given ``spine`` the date dimension covers the
-    months of the events.
+    that ``recent`` selects. With ``events_stored`` the two intermediate models are stored
+    as well, and staged events and event fact are read from the classified ones: for runs
+    that look at all of them, as the checks do, with a single deduplication. ``staged`` gives events that are
+    deduplicated already, such as those of the event store. Without a given ``spine`` the
+    date dimension covers the months of the events.
     """
 
     NAMES = (
@@ -50,6 +59,7 @@ class Models:
         "dim_machine", "dim_product", "dim_date", "fact_machine_events", "fact_oee_daily",
         "mart_oee_monthly_summary", "mart_whatif_pm_reduction",
     )
+    ROLLUPS = ("mart_day_rollup", "mart_stop_rollup")
 
     def __init__(
         self,
@@ -59,6 +69,8 @@ class Models:
         store: Keep = _lazy,
         view: Keep = _lazy,
         recent: Callable[[DataFrame], DataFrame] | None = None,
+        events_stored: bool = False,
+        staged: DataFrame | None = None,
     ):
         self.raw = raw
         self.settings = settings
@@ -66,10 +78,18 @@ class Models:
         self.store = store
         self.view = view
         self.recent = recent or (lambda events: events)
+        self.events_stored = events_stored
+        self.staged = staged
 
     @_model("view")
     def stg_fact_events(self):
-        return staging.stg_events(self.raw.raw_fact)
+        staged = self._deduplicated()
+        return self.int_events_classified.select(*staged.columns) if self.events_stored else staged
+
+    def _deduplicated(self) -> DataFrame:
+        if self.staged is None:
+            return staging.stg_events(self.raw.raw_fact)
+        return self.staged.select(*staging.trim_events(self.raw.raw_fact).columns)
 
     @_model("view")
     def stg_target_speeds(self):
@@ -83,14 +103,19 @@ class Models:
     def stg_machine(self):
         return staging.stg_machine(self.raw.raw_machine)
 
-    @_model("view")
+    @cached_property
     def int_events_classified(self):
-        return intermediate.events_classified(self.stg_fact_events, self.settings)
+        keep = self.store if self.events_stored else self.view
+        staged = self._deduplicated() if self.events_stored else self.stg_fact_events
+        events = intermediate.events_classified(staged, self.settings)
+        return keep(events, "int_events_classified")
 
-    @_model("view")
+    @cached_property
     def int_daily_machine_product(self):
+        keep = self.store if self.events_stored else self.view
         events = self.int_events_classified if self._is_lazy else self.fact_machine_events
-        return intermediate.daily_machine_product(self.recent(events), self.stg_target_speeds)
+        daily = intermediate.daily_machine_product(self.recent(events), self.stg_target_speeds)
+        return keep(daily, "int_daily_machine_product")
 
     @_model("store")
     def dim_machine(self):
@@ -118,8 +143,12 @@ class Models:
 
     @_model("store")
     def fact_oee_daily(self):
+        # without a spine of its own the dimension holds every day of the events, so the
+        # lazy fact computes its two columns instead of scanning the events once more
+        covered = self._is_lazy and self.spine is None
+        dates = None if covered else self.dim_date
         return marts.fact_oee_daily(
-            self.int_daily_machine_product, self.dim_machine, self.dim_product, self.dim_date
+            self.int_daily_machine_product, self.dim_machine, self.dim_product, dates
         )
 
     @_model("store")
@@ -130,6 +159,17 @@ class Models:
     def mart_whatif_pm_reduction(self):
         return marts.whatif_pm(self.fact_oee_daily, self.settings.pm_reduction)
 
+    @_model("store")
+    def mart_day_rollup(self):
+        return rollup.day_rollup(self.fact_oee_daily)
+
+    @_model("store")
+    def mart_stop_rollup(self):
+        events = self.int_events_classified if self._is_lazy else self.fact_machine_events
+        if "date_key" not in events.columns:
+            events = events.withColumn("date_key", event_day())
+        return rollup.stop_rollup(self.recent(events))
+
     @property
     def _is_lazy(self) -> bool:
         return self.store is _lazy
@@ -137,35 +177,65 @@ class Models:
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in self.NAMES}
 
+    def built(self) -> Models:
+        """Itself, with all models and rollups composed and, where they are kept, stored."""
+        for name in (*self.NAMES, *self.ROLLUPS):
+            getattr(self, name)
+        return self
+
 
 def compose(raw: RawTables, settings: Settings = DEFAULTS, spine: DataFrame | None = None) -> Models:
     """Every model as a lazy DataFrame over the raw tables."""
     return Models(raw, settings, spine)
 
 
-MONTHLY = ("fact_machine_events", "fact_oee_daily")
+MONTHLY = ("fact_machine_events", "fact_oee_daily", "mart_day_rollup", "mart_stop_rollup")
 
 
 def _derived(name: str) -> dict[str, Column]:
     return {"event_id": surrogate_key(*EVENT_KEY)} if name == "fact_machine_events" else {}
 
 
-def _store_mart(df: DataFrame, name: str) -> DataFrame:
+def store_mart(df: DataFrame, name: str, layer: str = MARTS) -> DataFrame:
+    """A mart stored in its layer, the facts and rollups by month."""
     month = "year_month" if name in MONTHLY else None
-    return write_mart(df, name, partition_by=month, derived=_derived(name))
+    return write_mart(df, name, layer, partition_by=month, derived=_derived(name))
 
 
 def build_catalog(
     raw: RawTables, settings: Settings = DEFAULTS, spine: DataFrame | None = None
 ) -> Models:
-    """Views for staging and intermediate, stored tables for the marts."""
-    models = Models(raw, settings, spine, store=_store_mart, view=register_view)
-    models.tables()
-    return models
+    """Marts stored from given raw frames; staging and intermediate as views of the session.
+
+    A catalog view is SQL text over stored tables, so it cannot stand for a given frame;
+    ``build_layers`` makes persistent views where the raw tables are stored.
+    """
+    return Models(raw, settings, spine, store=store_mart, view=register_view).built()
+
+
+def build_layers(
+    spark: SparkSession, settings: Settings = DEFAULTS, layers: Mapping[str, str] = LAYERS
+) -> Models:
+    """All models over the stored raw tables, each in the database of its layer.
+
+    Staging and intermediate models are persistent views that any session reads; the marts
+    are stored from them. ``layers`` names the databases.
+    """
+    create_views(spark, settings, layers)
+
+    def stored_view(df: DataFrame, name: str) -> DataFrame:
+        return spark.table(f"{layers[layer_of(name)]}.{name}")
+
+    raw = stored_raw(spark, layers[RAW])
+    return Models(raw, settings, store=partial(store_mart, layer=layers[MARTS]), view=stored_view).built()
 
 
 def refresh_months(
-    raw: RawTables, first: dt.date, last: dt.date, settings: Settings = DEFAULTS
+    raw: RawTables,
+    first: dt.date,
+    last: dt.date,
+    settings: Settings = DEFAULTS,
+    layer: str = MARTS,
 ) -> Models:
     """Rebuild the months from ``first`` to ``last`` of stored marts, and the small marts.
 
@@ -177,35 +247,64 @@ def refresh_months(
     start = first.replace(day=1)
     end = (last.replace(day=1) + dt.timedelta(days=31)).replace(day=1)
     days = [start + dt.timedelta(days=n) for n in range((end - start).days)]
-    months = sorted({f"{d:%Y-%m}" for d in days})
+    rows = in_days(raw.raw_fact, start, end - dt.timedelta(days=1), undated=True)
+    part = replace(raw, raw_fact=rows)
+    return _refreshed(part, sorted({f"{d:%Y-%m}" for d in days}), settings, layer)
+
+
+def merge_extract(
+    raw: RawTables,
+    extract: DataFrame,
+    settings: Settings = DEFAULTS,
+    staging_layer: str = STAGING,
+    layer: str = MARTS,
+) -> list[str | None]:
+    """Merge a late raw extract into the event store and rebuild the months it touched.
+
+    Neither step deduplicates the stored months again: the merge joins buckets, and the
+    facts of these months are built from the merged events. Targets, products and machines
+    are those of ``raw``. Returns the months, None standing for undated events.
+    """
+    months = event_store.merge(extract, staging_layer)
+    if months:
+        dated = [m for m in months if m is not None]
+        events = event_store.stored_events(extract.sparkSession, staging_layer)
+        touched = events.where(F.col("year_month").isin(dated) | F.col("year_month").isNull())
+        _refreshed(raw, dated, settings, layer, touched)
+    return months
+
+
+def _refreshed(
+    raw: RawTables, months: list[str], settings: Settings, layer: str,
+    staged: DataFrame | None = None,
+) -> Models:
+    """Some months and the undated events of stored facts replaced, small marts rebuilt."""
 
     def store(df: DataFrame, name: str) -> DataFrame:
         if name not in MONTHLY:
-            return _store_mart(df, name)
-        return replace_months(df, months, name, derived=_derived(name))
+            return store_mart(df, name, layer)
+        return replace_months(df, months, name, layer, _derived(name))
 
-    rows = in_days(raw.raw_fact, start, end - dt.timedelta(days=1), undated=True)
-    part = replace(raw, raw_fact=rows)
-    models = Models(
-        part,
+    return Models(
+        raw,
         settings,
         store=store,
         view=register_view,
         recent=lambda events: events.filter(
             F.col("year_month").isin(months) | F.col("year_month").isNull()
         ),
-    )
-    models.tables()
-    return models
+        staged=staged,
+    ).built()
 
 
 def build_scratch(
-    raw: RawTables, settings: Settings = DEFAULTS, spine: DataFrame | None = None
+    raw: RawTables,
+    settings: Settings = DEFAULTS,
+    spine: DataFrame | None = None,
+    events_stored: bool = False,
 ) -> Models:
     """Marts written once to the shared scratch folder, for one run over many of them."""
-    models = Models(raw, settings, spine, store=materialize)
-    models.tables()
-    return models
+    return Models(raw, settings, spine, store=materialize, events_stored=events_stored).built()
 
 
 def in_days(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -10,9 +9,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millwright.config import STATUS_GROUPS, STOPPAGE_CLASSES
+from millwright.config import NO_ORDER, STATUS_GROUPS, STOPPAGE_CLASSES
 from millwright.operators.joins import orphans
-from millwright.schemas import EVENT_KEY
+from millwright.plans.intermediate import with_event_date
+from millwright.schemas import DAY_KEY, EVENT_KEY
 
 NOT_NULL = "not_null"
 UNIQUE = "unique"
@@ -43,7 +43,9 @@ def check_not_null(df: DataFrame, column: str) -> DataFrame:
 
 
 def check_accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
-    return df.filter(_not_accepted(column, values))
+    """Values that are not accepted, with the number of rows that carry each; NULL passes."""
+    wrong = df.filter(_not_accepted(column, values))
+    return wrong.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n_rows"))
 
 
 def check_accepted_range(df: DataFrame, column: str, minimum) -> DataFrame:
@@ -76,9 +78,11 @@ def check_relationships(
 
 @dataclass(frozen=True)
 class Check:
+    """``column`` may be a tuple of columns where a combination has to be unique."""
+
     table: str
     kind: str
-    column: str
+    column: str | tuple[str, ...]
     values: tuple = ()
     minimum: int | None = None
     expression: str = ""
@@ -98,14 +102,35 @@ class Check:
         """Condition of a failing row, for the kinds that look at one row at a time."""
         if self.kind == NOT_NULL:
             return _not_null(self.column)
-        if self.kind == ACCEPTED_VALUES:
-            return _not_accepted(self.column, self.values)
         if self.kind == ACCEPTED_RANGE:
             return _below(self.column, self.minimum)
         return _not_true(f"`{self.column}` {self.expression}")
 
 
-ROW_KINDS = (NOT_NULL, ACCEPTED_VALUES, ACCEPTED_RANGE, EXPRESSION)
+    @property
+    def columns(self) -> tuple[str, ...]:
+        return (self.column,) if isinstance(self.column, str) else self.column
+
+    def key(self) -> Column:
+        """Text that two rows share exactly if the checked values are equal; NULL if one is."""
+        first, *rest = (F.col(c).cast("string") for c in self.columns)
+        if not rest:
+            return first
+        # lengths keep ('a-b', 'c') and ('a', 'b-c') apart
+        return F.concat(*[F.concat(F.length(c), F.lit(":"), c) for c in (first, *rest)])
+
+    def finding(self, number: int) -> Column:
+        """(check, key) of a row that counts for this check, NULL of any other.
+
+        Row checks count rows under one key; the others count rows by value.
+        """
+        if self.kind in (UNIQUE, RELATIONSHIPS):
+            key, counts = self.key(), self.key().isNotNull()
+        elif self.kind == ACCEPTED_VALUES:
+            key, counts = self.key(), _not_accepted(self.column, self.values)
+        else:
+            key, counts = F.lit(None).cast("string"), self.failing()
+        return F.when(counts, F.struct(F.lit(number).alias("check"), key.alias("key")))
 
 
 def _checks(table: str, kind: str, columns: Sequence[str], **args) -> list[Check]:
@@ -177,52 +202,42 @@ DECLARED: tuple[Check, ...] = (
 )
 
 
-def extra_unique_failures(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Two keys that are relied on but not among the declared checks.
-
-    A repeated target pair would multiply daily rows, and the daily fact is one row per
-    machine, product and day.
-    """
-    composite = {
-        "stg_target_speeds": ("machine", "product"),
-        "fact_oee_daily": ("machine", "product", "date_key"),
-    }
-    parts = [
-        check_unique(tables[t], *cols).agg(F.count("*").alias("failures")).select(
-            F.lit(t).alias("table_name"), F.lit(", ".join(cols)).alias("column_name"), "failures"
-        )
-        for t, cols in composite.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
-
+# Two keys that are relied on but not among the declared checks: a repeated target pair would
+# multiply daily rows, and the daily fact is one row per machine, product and day.
+EXTRA_KEYS = (
+    Check("stg_target_speeds", UNIQUE, ("machine", "product")),
+    Check("fact_oee_daily", UNIQUE, ("machine", "product", "date_key")),
+)
 
-def _labelled(checks: Sequence[Check], counts: Sequence[Column]) -> Column:
-    return F.array(*[
-        F.struct(
-            F.lit(c.table).alias("table_name"),
-            F.lit(c.kind).alias("check_kind"),
-            F.lit(c.column).alias("column_name"),
-            F.lit(c.detail).alias("detail"),
-            n.alias("failures"),
-        )
-        for c, n in zip(checks, counts)
-    ])
 
+def extra_unique_failures(tables: Mapping[str, DataFrame]) -> DataFrame:
+    return run_suite(tables, EXTRA_KEYS).select("table_name", "column_name", "failures")
 
-def _row_failures(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """All single-row checks of a table in one pass."""
-    counts = df.agg(*[F.count_if(c.failing()).alias(f"c{i}") for i, c in enumerate(checks)])
-    columns = [F.col(f"c{i}") for i in range(len(checks))]
-    return counts.select(F.inline(_labelled(checks, columns)))
 
+def _findings(table: str, df: DataFrame, checks: Sequence[Check]) -> DataFrame | None:
+    """(check, key, child, parent) of one table, from one scan.
 
-def _group_failures(df: DataFrame, check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
-    if check.kind == UNIQUE:
-        failed = check_unique(df, check.column).agg(F.count("*").alias("n"))
-    else:
-        rows = check_relationships(df, check.column, tables[check.parent])
-        failed = rows.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n"))
-    return failed.select(F.inline(_labelled([check], [F.col("n")])))
+    A row gives an entry per row check it fails, wrong value it holds and key it carries,
+    and one per check that looks for its key as a parent.
+    """
+    found = [c.finding(i) for i, c in enumerate(checks) if c.table == table]
+    asked = [
+        F.when(F.col(c.column).isNotNull(), F.struct(
+            F.lit(i).alias("check"), F.col(c.column).cast("string").alias("key")))
+        for i, c in enumerate(checks) if c.kind == RELATIONSHIPS and c.parent == table
+    ]
+    both = [(f, True) for f in found] + [(a, False) for a in asked]
+    if not both:
+        return None
+    entries = F.array_compact(F.array(*[
+        F.when(entry.isNotNull(), F.struct(
+            entry.getField("check").alias("check"), entry.getField("key").alias("key"),
+            F.lit(int(child)).cast("bigint").alias("child"),
+            F.lit(not child).alias("parent"),
+        ))
+        for entry, child in both
+    ]))
+    return df.select(F.inline(entries))
 
 
 def run_suite(
@@ -230,41 +245,83 @@ def run_suite(
 ) -> DataFrame:
     """One row per check with the number of failures and pass / fail.
 
-    Run it on stored tables: each table is then scanned once for its row checks and
-    once per key check.
+    Failures are rows for row checks and orphans, and values for repeated keys and values
+    that are not accepted. Run it on stored tables: each is scanned once, whatever the
+    number of its checks. What the rows have to say is counted by (check, key) in a single
+    exchange for all tables; counts are partial before it, so a hot value or a check that
+    fails everywhere sends one row per task, and foreign keys travel as often as they
+    differ.
     """
-    row_checks: dict[str, list[Check]] = defaultdict(list)
-    parts = []
-    for check in checks:
-        if check.kind in ROW_KINDS:
-            row_checks[check.table].append(check)
-        else:
-            parts.append(_group_failures(tables[check.table], check, tables))
-    parts += [_row_failures(tables[table], found) for table, found in row_checks.items()]
-    result = reduce(DataFrame.unionByName, parts)
+    parts = [
+        part
+        for name in dict.fromkeys([*(c.table for c in checks), *(c.parent for c in checks if c.parent)])
+        if (part := _findings(name, tables[name], checks)) is not None
+    ]
+    groups = reduce(DataFrame.unionByName, parts).groupBy("check", "key").agg(
+        F.sum("child").alias("n_rows"), F.bool_or("parent").alias("parent")
+    )
+    kind = F.get(F.array(*[F.lit(c.kind) for c in checks]), F.col("check"))
+    failures = (
+        F.when(kind == UNIQUE, (F.col("n_rows") > 1).cast("bigint"))
+        .when(kind == ACCEPTED_VALUES, F.lit(1).cast("bigint"))
+        .when(kind == RELATIONSHIPS, F.when(~F.col("parent"), F.col("n_rows")))
+        .otherwise(F.col("n_rows"))
+    )
+    counted = groups.select("check", failures.alias("n")).groupBy("check").agg(
+        F.sum("n").alias("n")
+    )
+    spark = next(iter(tables.values())).sparkSession
+    listed = spark.createDataFrame(
+        [(i, c.table, c.kind, ", ".join(c.columns), c.detail) for i, c in enumerate(checks)],
+        "check int, table_name string, check_kind string, column_name string, detail string",
+    )
+    result = listed.join(counted, "check", "left").withColumn(
+        "failures", F.coalesce("n", F.lit(0).cast("bigint"))
+    )
     status = F.when(F.col("failures") == 0, "pass").otherwise("fail")
-    return result.withColumn("status", status)
+    return result.select(
+        "table_name", "check_kind", "column_name", "detail", "failures", status.alias("status")
+    )
 
 
-def quality_profile(
-    raw_fact: DataFrame, classified: DataFrame, groups: DataFrame
-) -> DataFrame:
-    """One row of counters; ``groups`` are day groups before the planned-time condition."""
-    raw = raw_fact.agg(F.count("*").alias("raw_rows"))
-    events = classified.agg(
+PROFILE_COUNTERS = ("event_rows", "outlier_rows", "unknown_rows", "no_order_rows",
+                    "good_above_total_rows")
+
+
+def profiled_groups(classified: DataFrame) -> DataFrame:
+    """Day groups of all events: sums of those that are no outliers, and counters of all.
+
+    One grouping gives both, so the events are deduplicated and exchanged once.
+    ``counted_rows`` tells groups that hold outliers only, which are no day groups.
+    """
+    whole = ~F.col("is_duration_outlier")
+    rows = with_event_date(classified).withColumns({
+        "counted": F.when(whole, F.lit(1)),
+        "planned": F.when(whole & (F.col("oee_status_group") != NO_ORDER), F.col("duration_minutes")),
+    })
+    return rows.groupBy(*DAY_KEY).agg(
         F.count("*").alias("event_rows"),
+        F.count("counted").alias("counted_rows"),
+        F.coalesce(F.sum("planned"), F.lit(0)).alias("planned_time_min"),
         F.count_if("is_duration_outlier").alias("outlier_rows"),
         F.count_if("is_unknown_category").alias("unknown_rows"),
-        F.count_if(F.col("oee_status_group") == "NO_ORDER").alias("no_order_rows"),
+        F.count_if(F.col("oee_status_group") == NO_ORDER).alias("no_order_rows"),
         F.count_if(F.col("good_biscuits_made") > F.col("total_biscuits_made")).alias(
             "good_above_total_rows"
         ),
     )
-    days = groups.agg(
-        F.count("*").alias("day_groups"),
-        F.count_if(F.col("planned_time_min") <= 0).alias("dropped_day_groups"),
+
+
+def quality_profile(raw_fact: DataFrame, classified: DataFrame) -> DataFrame:
+    """One row of counters over the raw rows, the events and their day groups."""
+    raw = raw_fact.agg(F.count("*").alias("raw_rows"))
+    counted = F.col("counted_rows") > 0
+    events = profiled_groups(classified).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in PROFILE_COUNTERS],
+        F.count_if(counted).alias("day_groups"),
+        F.count_if(counted & (F.col("planned_time_min") <= 0)).alias("dropped_day_groups"),
     )
-    found = raw.unionByName(events, True).unionByName(days, True)
+    found = raw.unionByName(events, True)
     counters = found.agg(*[F.max(c).alias(c) for c in found.columns])
     return counters.select(
         "raw_rows",

@@ -80,8 +80,9 @@ def oee() -> Column:
 
 
 def fact_oee_daily(
-    daily: DataFrame, machines: DataFrame, products: DataFrame, dates: DataFrame
+    daily: DataFrame, machines: DataFrame, products: DataFrame, dates: DataFrame | None
 ) -> DataFrame:
+    """The daily rows with their keys. Without a date dimension its columns are computed."""
     rows = daily.withColumnRenamed("event_date", "date_key")
     rows = lookup_join(
         rows, machines.select("machine_name", "machine_key"), {"machine": "machine_name"}
@@ -89,9 +90,14 @@ def fact_oee_daily(
     rows = lookup_join(
         rows, products.select("product_name", "product_key"), {"product": "product_name"}
     )
-    rows = lookup_join(
-        rows, dates.select("date_key", "is_weekend", "day_name"), {"date_key": "date_key"}
-    )
+    if dates is None:
+        rows = rows.withColumns({
+            "is_weekend": cal.is_weekend("date_key"), "day_name": cal.day_name("date_key"),
+        })
+    else:
+        rows = lookup_join(
+            rows, dates.select("date_key", "is_weekend", "day_name"), {"date_key": "date_key"}
+        )
     return rows.select(
         "machine", "product", "date_key", "machine_key", "product_key",
         "is_weekend", "day_name",

@@ -17,21 +17,20 @@ from millwright.functions.numeric import (
     hours,
     hours_double,
     hours_exact,
-    pct,
     per_hour,
     ratio,
     rounded,
 )
-from millwright.operators.aggregates import target_output
 from millwright.operators.joins import lookup_join
 from millwright.operators.ranking import ranked, top_per_group
+from millwright.plans.rollup import mean, mean_pct, sample_deviation
 
 
 class Marts(Protocol):
-    """What the reports read: three of the models."""
+    """What the reports read: the two rollups and the what-if mart, never facts or events."""
 
-    fact_oee_daily: DataFrame
-    fact_machine_events: DataFrame
+    mart_day_rollup: DataFrame
+    mart_stop_rollup: DataFrame
     mart_whatif_pm_reduction: DataFrame
 
 
@@ -84,21 +83,21 @@ def _counted(events: DataFrame, include_outliers: bool) -> DataFrame:
 
 def _kpi(measure: str):
     def report(marts: Marts, filters: Filters, settings: Settings) -> DataFrame:
-        rows = apply_filters(marts.fact_oee_daily, filters)
-        return rows.agg(pct(measure, 2).alias(f"{measure}_pct"))
+        rows = apply_filters(marts.mart_day_rollup, filters)
+        return rows.agg(mean_pct(measure, 2).alias(f"{measure}_pct"))
 
     return report
 
 
 def kpi_worldclass(marts: Marts, filters: Filters, settings: Settings) -> DataFrame:
-    rows = apply_filters(marts.fact_oee_daily, filters)
-    gap = F.avg("oee") * 100 - float(settings.world_class_pct)
+    rows = apply_filters(marts.mart_day_rollup, filters)
+    gap = mean("oee") * 100 - float(settings.world_class_pct)
     return rows.agg(rounded(gap, 2).alias("gap_points"))
 
 
 def oee_trend(marts: Marts, filters: Filters, settings: Settings) -> DataFrame:
-    rows = apply_filters(marts.fact_oee_daily, filters)
-    by_day = rows.groupBy("date_key").agg(pct("oee", 2).alias("oee_pct"))
+    rows = apply_filters(marts.mart_day_rollup, filters)
+    by_day = rows.groupBy("date_key").agg(mean_pct("oee", 2).alias("oee_pct"))
     return ranked(by_day, "date_key", ascending=True)
 
 
@@ -106,25 +105,29 @@ def oee_dow(marts: Marts, filters: Filters, settings: Settings) -> DataFrame:
     """Weekdays in the order of their first date."""
     label = weekday_label("is_weekend", settings.weekend_label, settings.weekday_label)
     by_weekday = (
-        apply_filters(marts.fact_oee_daily, filters)
+        apply_filters(marts.mart_day_rollup, filters)
         .groupBy("day_name", label.alias("day_group"))
-        .agg(pct("oee", 2).alias("oee_pct"), F.min("date_key").alias("first_date"))
+        .agg(mean_pct("oee", 2).alias("oee_pct"), F.min("date_key").alias("first_date"))
     )
     return ranked(by_weekday, "first_date", ascending=True).drop("first_date")
 
 
 def top_reasons(
-    events: DataFrame, settings: Settings = DEFAULTS, include_outliers: bool = True
+    events: DataFrame,
+    settings: Settings = DEFAULTS,
+    include_outliers: bool = True,
+    minutes: str = "duration_minutes",
 ) -> DataFrame:
     """Per machine, the categories with most stopped time as one text.
 
-    Categories are summed first; only their totals meet in the per-machine ranking.
+    ``events`` are events or their rollup, with the ``minutes`` to sum. Categories are
+    summed first; only their totals meet in the per-machine ranking.
     A NULL category takes a rank but adds no text.
     """
     totals = (
         _counted(non_run(events), include_outliers)
         .groupBy("machine", "oee_category_raw")
-        .agg(F.sum("duration_minutes").alias("minutes"))
+        .agg(F.sum(minutes).alias("minutes"))
     )
     best = top_per_group(
         totals, ["machine"], "minutes", settings.reason_count, tie=["oee_category_raw"]
@@ -140,53 +143,53 @@ def top_reasons(
 
 def oee_machine(marts: Marts, filters: Filters, settings: Settings) -> DataFrame:
     """The reasons column covers all events: page filters do not reach it."""
-    rows = apply_filters(marts.fact_oee_daily, filters)
-    by_machine = rows.groupBy("machine").agg(pct("oee", 2).alias("oee_pct"))
-    reasons = top_reasons(marts.fact_machine_events, settings)
+    rows = apply_filters(marts.mart_day_rollup, filters)
+    by_machine = rows.groupBy("machine").agg(mean_pct("oee", 2).alias("oee_pct"))
+    reasons = top_reasons(marts.mart_stop_rollup, settings, minutes="minutes")
     joined = lookup_join(by_machine, reasons, {"machine": "machine"})
     return ranked(joined, "oee_pct", ascending=True, tie=["machine"])
 
 
 def _apq(digits: int = 1) -> list[Column]:
-    return [pct(m, digits).alias(f"{m}_pct") for m in ("availability", "performance", "quality")]
+    return [mean_pct(m, digits).alias(f"{m}_pct") for m in ("availability", "performance", "quality")]
 
 
 def apq_machine(marts: Marts, filters: Filters, settings: Settings) -> DataFrame:
-    rows = apply_filters(marts.fact_oee_daily, filters)
+    rows = apply_filters(marts.mart_day_rollup, filters)
     by_machine = rows.groupBy("machine").agg(*_apq())
     return ranked(by_machine, "quality_pct", ascending=False, tie=["machine"])
 
 
 def worst_machine(marts: Marts, filters: Filters, settings: Settings) -> DataFrame:
-    rows = apply_filters(marts.fact_oee_daily, filters)
-    by_machine = rows.groupBy("machine").agg(F.avg("oee").alias("mean_oee"))
+    rows = apply_filters(marts.mart_day_rollup, filters)
+    by_machine = rows.groupBy("machine").agg(mean("oee").alias("mean_oee"))
     return ranked(by_machine, "mean_oee", True, limit=1, tie=["machine"]).select("machine")
 
 
 def stability(marts: Marts, filters: Filters, settings: Settings) -> DataFrame:
     """Mean and sample deviation of OEE; a machine with one day row has no deviation."""
-    rows = apply_filters(marts.fact_oee_daily, filters)
+    rows = apply_filters(marts.mart_day_rollup, filters)
     by_machine = rows.groupBy("machine").agg(
-        pct("oee", 2).alias("oee_pct"),
-        rounded(F.stddev_samp("oee") * 100, 2).alias("oee_stddev_pct"),
+        mean_pct("oee", 2).alias("oee_pct"),
+        rounded(sample_deviation() * 100, 2).alias("oee_stddev_pct"),
         *_apq(),
     )
     return ranked(by_machine, "oee_pct", ascending=False, tie=["machine"])
 
 
 def total_downtime(marts: Marts, filters: Filters, settings: Settings) -> DataFrame:
-    rows = apply_filters(marts.fact_oee_daily, filters)
+    rows = apply_filters(marts.mart_day_rollup, filters)
     return rows.agg(hours("downtime_min", 1).alias("downtime_hours"))
 
 
 def downtime_cat(
     marts: Marts, filters: Filters, settings: Settings, include_outliers: bool = True
 ) -> DataFrame:
-    rows = apply_filters(marts.fact_machine_events, filters)
+    rows = apply_filters(marts.mart_stop_rollup, filters)
     by_category = (
         _counted(non_run(rows), include_outliers)
         .groupBy("oee_category_raw")
-        .agg(hours("duration_minutes", 1).alias("hours"))
+        .agg(hours("minutes", 1).alias("hours"))
     )
     return ranked(by_category, "hours", ascending=False, tie=["oee_category_raw"])
 
@@ -194,23 +197,23 @@ def downtime_cat(
 def minor_major(
     marts: Marts, filters: Filters, settings: Settings, include_outliers: bool = True
 ) -> DataFrame:
-    rows = apply_filters(marts.fact_machine_events, filters)
+    rows = apply_filters(marts.mart_stop_rollup, filters)
     by_class = (
         _counted(stops_only(rows), include_outliers)
         .groupBy("stoppage_class")
-        .agg(hours("duration_minutes", 1).alias("hours"))
+        .agg(hours("minutes", 1).alias("hours"))
     )
     return ranked(by_class, "hours", ascending=False, tie=["stoppage_class"])
 
 
 def cc_pct(marts: Marts, filters: Filters, settings: Settings) -> DataFrame:
-    rows = apply_filters(marts.fact_oee_daily, filters)
+    rows = apply_filters(marts.mart_day_rollup, filters)
     share = ratio(F.sum("changeover_time_min"), F.sum("downtime_min")) * 100
     return rows.agg(rounded(share, 1).alias("changeover_pct"))
 
 
 def cc_machine(marts: Marts, filters: Filters, settings: Settings) -> DataFrame:
-    rows = apply_filters(marts.fact_oee_daily, filters)
+    rows = apply_filters(marts.mart_day_rollup, filters)
     by_machine = rows.groupBy("machine").agg(
         hours("changeover_time_min", 1).alias("changeover_hours")
     )
@@ -218,9 +221,9 @@ def cc_machine(marts: Marts, filters: Filters, settings: Settings) -> DataFrame:
 
 
 def waste_product(marts: Marts, filters: Filters, settings: Settings) -> DataFrame:
-    rows = apply_filters(marts.fact_oee_daily, filters)
+    rows = apply_filters(marts.mart_day_rollup, filters)
     by_product = rows.groupBy("product").agg(
-        rounded((F.lit(1.0) - F.avg("quality")) * 100, 2).alias("waste_pct")
+        rounded((F.lit(1.0) - mean("quality")) * 100, 2).alias("waste_pct")
     )
     return ranked(by_product, "waste_pct", ascending=False, tie=["product"])
 
@@ -231,11 +234,11 @@ def _actual_speed() -> Column:
 
 
 def perf_gap(marts: Marts, filters: Filters, settings: Settings) -> DataFrame:
-    rows = apply_filters(marts.fact_oee_daily, filters)
+    rows = apply_filters(marts.mart_day_rollup, filters)
     by_pair = rows.groupBy("machine", "product").agg(
         rounded(F.max("target_biscuits_per_hour"), 0).alias("target_per_hour"),
         _actual_speed(),
-        pct("performance", 1).alias("performance_pct"),
+        mean_pct("performance", 1).alias("performance_pct"),
     )
     return ranked(
         by_pair, "performance_pct", True, limit=settings.gap_rows, tie=["machine", "product"]
@@ -243,8 +246,8 @@ def perf_gap(marts: Marts, filters: Filters, settings: Settings) -> DataFrame:
 
 
 def speed_machine(marts: Marts, filters: Filters, settings: Settings) -> DataFrame:
-    rows = apply_filters(marts.fact_oee_daily, filters)
-    target = ratio(target_output(), hours_double(F.sum("run_time_min")))
+    rows = apply_filters(marts.mart_day_rollup, filters)
+    target = ratio(hours_double(F.sum("target_output")), hours_double(F.sum("run_time_min")))
     by_machine = rows.groupBy("machine").agg(
         _actual_speed(), rounded(target, 0).alias("target_per_hour")
     )

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
 _WRITTEN: dict[str, SparkSession] = {}
+_DATABASES: dict[str, SparkSession] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -30,17 +31,23 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL.setdefault(context.applicationId, tempfile.mkdtemp(prefix="millwright-"))
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_folder(spark: SparkSession, path: str) -> None:
     jvm = spark._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, deleted when the application ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN[path] = spark
+    return path
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet and read again: a lost executor costs no recomputation."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    _WRITTEN[path] = spark
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     stored = spark.read.schema(df.schema).parquet(path)
     stored.scratch_path = path
@@ -52,14 +59,29 @@ def drop(*tables: DataFrame) -> None:
     for table in tables:
         path = getattr(table, "scratch_path", None)
         if path and _WRITTEN.pop(path, None):
-            _delete(table.sparkSession, path)
+            delete_folder(table.sparkSession, path)
+
+
+def scratch_database(spark: SparkSession, prefix: str = "layer") -> str:
+    """A new database in the shared folder, dropped with its files when the application ends."""
+    name = f"{prefix}_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{path}'")
+    _WRITTEN[path] = spark
+    _DATABASES[name] = spark
+    return name
 
 
 @atexit.register
 def clean_up() -> None:
     """Delete what is left; runs when the application ends."""
+    for name in list(_DATABASES):
+        spark = _DATABASES.pop(name)
+        with suppress(Exception):
+            if spark.sparkContext._jsc is not None:
+                spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
     for path in list(_WRITTEN):
         spark = _WRITTEN.pop(path)
         with suppress(Exception):  # the session may have ended before
             if spark.sparkContext._jsc is not None:
-                _delete(spark, path)
+                delete_folder(spark, path)

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwright.config import scratch_dir
 from millwright.functions.calendar import year_month
+from millwright.scratch import delete_folder, store
 
 RAW, STAGING, INTERMEDIATE, MARTS = "raw", "staging", "intermediate", "marts"
 _LAYER_OF_PREFIX = {"raw_": RAW, "stg_": STAGING, "int_": INTERMEDIATE}
@@ -36,55 +37,141 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-SLOTS = ("slot_a", "slot_b")
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it does not exist."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(target):
+        return []
+    return sorted(f.getPath().getName() for f in system.listStatus(target) if f.isDirectory())
+
+
+def _described(spark: SparkSession, name: str, partition: str = "") -> dict[str, str]:
+    rows = spark.sql(f"DESCRIBE EXTENDED {name} {partition}").collect()
+    found: dict[str, str] = {}
+    for row in rows:  # of a partition, its own location comes before that of the table
+        found.setdefault(row.col_name, row.data_type)
+    return found
 
 
 def _location(spark: SparkSession, name: str) -> str | None:
     """Folder of a stored table, or None if there is no such table."""
-    if not spark.catalog.tableExists(name):
-        return None
-    found = spark.sql(f"DESCRIBE FORMATTED {name}").filter(F.col("col_name") == "Location")
-    return found.select("data_type").first()[0]
+    return _described(spark, name)["Location"] if spark.catalog.tableExists(name) else None
+
+
+def table_folder(spark: SparkSession, table: str, layer: str = RAW) -> str:
+    """The folder that holds all snapshots of a table."""
+    ensure_layer(spark, layer)
+    return f"{spark.catalog.getDatabase(layer).locationUri}/{table}"
+
+
+def version_name() -> str:
+    """Name of the next snapshot's folder."""
+    return f"v{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
 
 
 def stage_write(
     df: DataFrame, table: str, layer: str = RAW, partition_by: Sequence[str] = ()
 ) -> str:
-    """Write beside the live rows and return the folder.
+    """Write a snapshot beside the live rows and return its folder.
 
-    A table has two folders and lives in one of them; a reload fills the other one, so
-    readers keep the old rows until the swap, and no data is moved or left behind.
+    Every load has a folder of its own and the catalog points at one of them, so nothing
+    that is being read is ever written to. A load that stops here leaves the table as it
+    was; its folder goes with the next load.
     """
-    spark = df.sparkSession
-    ensure_layer(spark, layer)
-    base = f"{spark.catalog.getDatabase(layer).locationUri}/{table}"
-    live = _location(spark, layer_name(layer, table)) or ""
-    slot = SLOTS[1] if live.endswith(SLOTS[0]) else SLOTS[0]
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{base}/{slot}")
-    return f"{base}/{slot}"
+    folder = f"{table_folder(df.sparkSession, table, layer)}/{version_name()}"
+    df.write.partitionBy(*partition_by).parquet(folder)
+    return folder
 
 
 def swap_in(
     df: DataFrame, folder: str, table: str, layer: str = RAW, partition_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Point the table at a written folder; ``df`` gives the column types."""
+    """Point the table at a written snapshot; ``df`` gives the column types.
+
+    For a table without partitions this is a single change of its location: a reader sees
+    all old rows or all new ones. The snapshot it replaced stays until the next load, so a
+    reader that began before the switch finishes on the rows it began with. A session that
+    has read the table before knows the new rows after ``REFRESH TABLE``, or on its own with
+    ``spark.sql.metadataCacheTTLSeconds``. Only where columns or partitioning differ from the
+    live table is that one dropped and made anew. One load of a table runs at a time.
+    """
     spark = df.sparkSession
     live = layer_name(layer, table)
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    partitioning = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    spark.sql(f"DROP TABLE IF EXISTS {live}")
-    spark.sql(
-        f"CREATE TABLE {live} ({columns}) USING parquet{partitioning} LOCATION '{folder}'"
-    )
+    columns = [(f.name, f.dataType) for f in df.schema]
+    last = None
+    if spark.catalog.tableExists(live):
+        held = spark.table(live)
+        same = [(f.name, f.dataType) for f in held.schema] == columns
+        parted = [c.name for c in spark.catalog.listColumns(live) if c.isPartition]
+        if not same or parted != list(partition_by):
+            spark.sql(f"DROP TABLE {live}")
+        else:
+            last = _location(spark, live)
+    if last is None:
+        listed = ", ".join(f"`{n}` {t.simpleString()}" for n, t in columns)
+        parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+        place = table_folder(spark, table, layer) if partition_by else folder
+        spark.sql(f"CREATE TABLE {live} ({listed}) USING parquet{parts} LOCATION '{place}'")
+    elif not partition_by:
+        spark.sql(f"ALTER TABLE {live} SET LOCATION '{folder}'")
     if partition_by:
-        spark.sql(f"MSCK REPAIR TABLE {live}")
+        return point_partitions(spark, folder, table, layer, partition_by[0])
+    keep = {place.rsplit("/", 1)[1] for place in (folder, last or folder)}
+    for version in set(_folders(spark, folder.rsplit("/", 1)[0])) - keep:
+        delete_folder(spark, f"{folder.rsplit('/', 1)[0]}/{version}")
+    return spark.table(live)
+
+
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def point_partitions(
+    spark: SparkSession, folder: str, table: str, layer: str, column: str,
+    replaced: Iterable[str] | None = None,
+) -> DataFrame:
+    """Point partitions of a table at those of a written snapshot, each in one step.
+
+    ``replaced`` names the values that the snapshot stands for, all if not given: those
+    that it holds no rows of are removed. A reader sees a partition as it was or as it is
+    now, never half of it. Of each partition the snapshot that was live before is kept.
+    """
+    live, base = layer_name(layer, table), folder.rsplit("/", 1)[0]
+    here = {name.split("=", 1)[1] for name in _folders(spark, folder) if "=" in name}
+    held = {row[0].split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {live}").collect()}
+    spec = {
+        v: f"PARTITION ({column} = {'null' if v == NO_VALUE else repr(v)})" for v in here | held
+    }
+    before = {v: _described(spark, live, spec[v])["Location"] for v in here & held}
+    for value in sorted(here & held):
+        place = f"{folder}/{column}={value}"
+        spark.sql(f"ALTER TABLE {live} {spec[value]} SET LOCATION '{place}'")
+    if here - held:
+        added = " ".join(
+            f"{spec[v]} LOCATION '{folder}/{column}={v}'" for v in sorted(here - held)
+        )
+        spark.sql(f"ALTER TABLE {live} ADD {added}")
+    gone = held - here if replaced is None else (held - here) & set(replaced)
+    if gone:
+        spark.sql(f"ALTER TABLE {live} DROP " + ", ".join(spec[v] for v in sorted(gone)))
+    spark.catalog.refreshTable(live)
+    for version in set(_folders(spark, base)) - {folder.rsplit("/", 1)[1]}:
+        inside = _folders(spark, f"{base}/{version}")
+        for name in inside:
+            value = name.split("=", 1)[-1]
+            old = f"{base}/{version}/{name}"
+            if value in here and not before.get(value, "").endswith(f"{version}/{name}"):
+                delete_folder(spark, old)
+                inside = [n for n in inside if n != name]
+        if not inside:
+            delete_folder(spark, f"{base}/{version}")
     return spark.table(live)
 
 
 def write_table(
     df: DataFrame, table: str, layer: str = RAW, partition_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Full reload. A failed write leaves the old rows in place."""
+    """Full reload in a write and a switch. A failed write leaves the old rows in place."""
     folder = stage_write(df, table, layer, partition_by)
     return swap_in(df, folder, table, layer, partition_by)
 
@@ -136,10 +223,12 @@ def replace_months(
     layer: str = MARTS,
     derived: Mapping[str, Column] = {},
 ) -> DataFrame:
-    """Overwrite some months of a stored, month-partitioned mart with the rows of ``df``.
+    """Replace some months of a stored, month-partitioned mart with the rows of ``df``.
 
-    Rows without a month are a partition of their own, which is replaced too. The months are replaced when the write commits. A month that has no rows any more
-    becomes empty.
+    Rows without a month are a partition of their own, which is replaced too. The months
+    are written to a folder of this load and then switched one by one, so a reader never
+    meets half a month and a load that stops in the write changes nothing. A month that
+    has no rows any more is removed.
     """
     spark = df.sparkSession
     live = layer_name(layer, table)
@@ -148,28 +237,9 @@ def replace_months(
     df = df.filter(F.col("year_month").isin(*months) | F.col("year_month").isNull())
     if not spark.catalog.tableExists(live):
         return write_mart(df, table, layer, "year_month", derived)
-    folder = _location(spark, live)
-    seen = Observation(f"months_{table}")
     rows = df.select(*spark.table(live).columns)
-    (
-        _by_month(rows, derived)
-        .observe(
-            seen, F.collect_set("year_month").alias("months"),
-            F.count_if(F.col("year_month").isNull()).alias("undated"),
-        )
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("year_month")
-        .parquet(folder)
-    )
-    nothing = rows.drop("year_month").filter(F.lit(False))
-    for month in sorted(set(months) - set(seen.get["months"])):
-        nothing.write.mode("overwrite").parquet(f"{folder}/year_month={month}")
-    if not seen.get["undated"]:
-        nothing.write.mode("overwrite").parquet(f"{folder}/year_month=__HIVE_DEFAULT_PARTITION__")
-    spark.sql(f"MSCK REPAIR TABLE {live}")
-    spark.catalog.refreshTable(live)
-    return spark.table(live)
+    folder = stage_write(_by_month(rows, derived), table, layer, ["year_month"])
+    return point_partitions(spark, folder, table, layer, "year_month", {*months, NO_VALUE})
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -178,7 +248,4 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     For a result with several consumers: it survives lost executors, later scans prune
     columns, and its file size tells the planner whether it may be broadcast.
     """
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return store(df, name)

@@ -89,19 +89,21 @@ CTES: dict[str, str] = {
     "stg_machine": """
         SELECT trim(machine_name) AS machine_name, trim(machine_type) AS machine_type
         FROM raw_machine""",
+    "grouped": """
+        SELECT *, CASE WHEN oee_category_raw ILIKE 'run time%' THEN 'RUN'
+                       WHEN oee_category_raw ILIKE 'cc%' THEN 'CHANGEOVER'
+                       WHEN oee_category_raw ILIKE 'pm%' THEN 'PLANNED_DOWNTIME_PM'
+                       WHEN oee_category_raw ILIKE 'no%' THEN 'NO_ORDER'
+                       ELSE 'UNKNOWN' END AS oee_status_group
+        FROM stg_fact_events""",
     "int_events_classified": """
-        SELECT *, oee_status_group, duration_minutes > 1440 AS is_duration_outlier,
+        SELECT *, duration_minutes > 1440 AS is_duration_outlier,
                coalesce(oee_category_raw, '') IN ('', '0') AS is_unknown_category,
                CASE WHEN oee_status_group = 'RUN' OR duration_minutes IS NULL THEN NULL
                     WHEN duration_minutes >= 3 THEN 'MAJOR' ELSE 'MINOR' END AS stoppage_class
-        FROM (SELECT *, coalesce(
-                  CASE WHEN starts_with(lower(oee_category_raw), 'run time') THEN 'RUN' END,
-                  CASE left(lower(oee_category_raw), 2) WHEN 'cc' THEN 'CHANGEOVER'
-                       WHEN 'pm' THEN 'PLANNED_DOWNTIME_PM' WHEN 'no' THEN 'NO_ORDER' END,
-                  'UNKNOWN') AS status_group
-              FROM stg_fact_events) s, LATERAL (SELECT s.status_group AS oee_status_group) g""",
+        FROM grouped""",
     "counted": """
-        SELECT * EXCLUDE (status_group) FROM int_events_classified WHERE duration_minutes <= 1440""",
+        SELECT * FROM int_events_classified WHERE duration_minutes <= 1440""",
     "group_sums": """
         SELECT machine, product, CAST(start_datetime AS DATE) AS event_date,
                coalesce(sum(duration_minutes) FILTER (oee_status_group <> 'NO_ORDER'), 0)
@@ -124,13 +126,12 @@ CTES: dict[str, str] = {
     "int_daily_machine_product": f"""
         SELECT g.*, s.target_biscuits_per_hour,
                {div('run_time_min', 'planned_time_min')} AS availability,
-               least({div(div('total_biscuits_made', 'run_time_min / 60.0'),
-                          's.target_biscuits_per_hour')}, 1.0) AS performance,
+               least(CAST(total_biscuits_made AS DOUBLE)
+                       / nullif(CAST(run_time_min AS DOUBLE) / 60, 0)
+                       / nullif(CAST(s.target_biscuits_per_hour AS DOUBLE), 0), 1.0) AS performance,
                least({div('good_biscuits_made', 'total_biscuits_made')}, 1.0) AS quality
         FROM day_groups g LEFT JOIN stg_target_speeds s USING (machine, product)
-        WHERE planned_time_min > 0""".replace(
-            "CAST(run_time_min / 60.0 AS DOUBLE)", "(CAST(run_time_min AS DOUBLE) / 60)"
-        ),
+        WHERE planned_time_min > 0""",
     "dim_machine": f"""
         SELECT md5({key_text('machine_name')}) AS machine_key, * FROM stg_machine""",
     "dim_product": f"""
@@ -415,25 +416,57 @@ STATEMENTS: dict[str, str] = {
         f" CASE count(*) WHEN {n} THEN 'OK' ELSE 'DIFFERS' END AS status FROM {t}"
         for t, n in zip(RAW_TABLES, (8044, 72, 18, 10))
     ),
-    "a6_load_report": "SELECT 'raw_product' AS table_name, count(*) AS n_rows,"
-    " count(*) AS expected, 'OK' AS status FROM part",
+    "a6_load_report": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS n_rows, {wanted} AS expected,"
+        f" CASE count(*) WHEN {wanted} THEN 'OK' ELSE 'DIFFERS' END AS status,"
+        f" CAST({newest} AS TIMESTAMP) AS newest, '{dropped}' AS dropped FROM {t}"
+        for t, wanted, newest, dropped in (
+            ("raw_fact", "CAST(8044 AS BIGINT)", "max(startdatetime)", ""),
+            ("raw_target_speeds", "CAST(72 AS BIGINT)", "NULL", ""),
+            ("raw_product", "(SELECT count(*) FROM part)", "NULL", "Bsicuits Per Pallet"),
+            ("raw_machine", "(SELECT count(*) FROM supplier)", "NULL", ""),
+        )
+    ),
+    "a7_logged_counts": " UNION ALL ".join(COUNT_RAW.format(t) for t in RAW_TABLES),
+    "a8_logged_freshness": "SELECT * EXCLUDE (limits) FROM"
+    f" ({freshness('tight', 0, 30)})",
     "a7_verify_counts": " UNION ALL ".join(COUNT_RAW.format(t) for t in RAW_TABLES),
     "a8_freshness": " UNION ALL ".join([
         freshness("default", 3650, 7300), freshness("tight", 0, 30), freshness("strict", 0, 0)
     ]),
     "a9_register_view": "SELECT machine, count(*) AS n_targets,"
     " CAST(max(target_biscuits_per_hour) AS DOUBLE) AS best FROM stg_target_speeds GROUP BY machine",
+    "a9_view_stg_fact_events": f"SELECT {STAGED} FROM stg_fact_events",
+    "a9_view_stg_target_speeds": "SELECT machine, product,"
+    f" {dbl('target_biscuits_per_hour')} FROM stg_target_speeds",
+    "a9_view_stg_product": "SELECT * FROM stg_product",
+    "a9_view_stg_machine": "SELECT * FROM stg_machine",
+    "a9_view_int_events_classified": f"SELECT {CLASSIFIED} FROM int_events_classified",
+    "a9_view_int_daily_machine_product": f"SELECT machine, product, event_date, {DAILY_MEASURES}"
+    " FROM int_daily_machine_product",
+    "a10_switched_months": f"SELECT {FACT}, {MONTH} AS year_month FROM fact_oee_daily",
     "a10_write_mart": f"SELECT {FACT}, {MONTH} AS year_month FROM fact_oee_daily",
     "a11_layer_names": " UNION ALL ".join(
         f"SELECT '{layer}.{t}' AS table_name, count(*) AS n_rows FROM {t}"
         for layer, names in {
             "raw": RAW_TABLES,
             "staging": ("stg_fact_events", "stg_target_speeds", "stg_product", "stg_machine"),
-            "marts": ("dim_machine", "dim_product", "dim_date"),
+            "intermediate": ("int_events_classified", "int_daily_machine_product"),
+            "marts": (
+                "dim_machine", "dim_product", "dim_date", "fact_machine_events", "fact_oee_daily",
+                "mart_oee_monthly_summary", "mart_whatif_pm_reduction",
+            ),
         }.items()
         for t in names
     ),
     "b1_stg_events": f"SELECT {STAGED} FROM trimmed",
+    "b1_half_counters": f"""
+        SELECT machine, start_datetime, end_datetime, product, {dbl('duration_minutes')},
+               CAST(round(CAST(total_biscuits_made - 200 AS DECIMAL(18,1)) / 2) AS BIGINT)
+                 AS total_biscuits_made,
+               CAST(round(CAST(good_biscuits_made - 200 AS DECIMAL(18,1)) / 2) AS BIGINT)
+                 AS good_biscuits_made,
+               oee_category_raw FROM trimmed""",
     "b2_stg_target_speeds": "SELECT machine, product,"
     f" {dbl('target_biscuits_per_hour')} FROM stg_target_speeds",
     "b3_stg_product": "SELECT * FROM stg_product",
@@ -458,6 +491,8 @@ STATEMENTS: dict[str, str] = {
         FROM (SELECT *, CASE oee_category_raw WHEN 'Run Time' THEN NULL WHEN '0' THEN ''
                         ELSE oee_category_raw END AS category FROM stg_fact_events)""",
     "b17_whatif_reduction": f"SELECT {WHATIF} FROM ({whatif('0.30')})",
+    "b17_whatif_reduction_1": f"SELECT {WHATIF} FROM ({whatif('1')})",
+    "b17_whatif_reduction_0_12345": f"SELECT {WHATIF} FROM ({whatif('0.12345')})",
     "b18_apply_filters": fact_columns("oee")
     + f" WHERE {D} AND machine IN ('Machine 3', 'Machine 4')"
     " AND product IN ('Product 5', 'Product 6')",
@@ -544,6 +579,13 @@ STATEMENTS: dict[str, str] = {
     " FROM int_daily_machine_product",
     "g6_fact_machine_events": f"SELECT * REPLACE (CAST(duration_minutes AS DOUBLE) AS duration_minutes)"
     " FROM fact_machine_events",
+    "g6_refreshed": f"SELECT * REPLACE (CAST(duration_minutes AS DOUBLE) AS duration_minutes)"
+    " FROM fact_machine_events",
+    "g10_month_rollup": f"SELECT machine, count(*) AS n_rows, {rnd('avg(oee)', 6)} AS oee_mean,"
+    f" {rnd('stddev_samp(oee)', 6)} AS oee_stddev, min(oee) AS oee_min, max(oee) AS oee_max,"
+    " CAST(sum(planned_time_min) AS DOUBLE) AS planned_time_min FROM fact_oee_daily GROUP BY machine",
+    "g11_stop_rollup": "SELECT machine, oee_category_raw, count(*) AS n_events,"
+    " CAST(sum(duration_minutes) AS DOUBLE) AS minutes FROM fact_machine_events GROUP BY ALL",
     "g7_fact_oee_daily": f"SELECT {FACT} FROM fact_oee_daily",
     "g7_stored_build": f"SELECT {FACT} FROM fact_oee_daily",
     "g7_day_range": f"SELECT {FACT} FROM fact_oee_daily WHERE {D}",

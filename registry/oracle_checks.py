@@ -9,9 +9,8 @@ CORRUPTED = {
                             AS duration_minutes)
         FROM stg_fact_events""",
     "bad_classified": """
-        SELECT * EXCLUDE (status_group)
-               REPLACE (if(oee_status_group = 'UNKNOWN', 'IDLE', oee_status_group)
-                        AS oee_status_group)
+        SELECT * REPLACE (if(oee_status_group = 'UNKNOWN', 'IDLE', oee_status_group)
+                          AS oee_status_group)
         FROM int_events_classified""",
     "bad_fact": """
         SELECT * REPLACE (if(quality < 1, md5(product), machine_key) AS machine_key,
@@ -24,56 +23,69 @@ CORRUPTED = {
 GROUPS = "'RUN', 'CHANGEOVER', 'PLANNED_DOWNTIME_PM', 'NO_ORDER', 'UNKNOWN'"
 CLASSES = "'MINOR', 'MAJOR'"
 
-# table: (not-null columns, unique columns, accepted values, minimum, expressions, parents)
+# The declared checks, by table and kind.
 DECLARED = {
     "stg_fact_events": {
-        "not_null": "machine start_datetime end_datetime duration_minutes total_biscuits_made"
-        " good_biscuits_made oee_category_raw product",
+        "not_null": (
+            "machine", "start_datetime", "end_datetime", "duration_minutes",
+            "total_biscuits_made", "good_biscuits_made", "oee_category_raw", "product",
+        ),
         "min": {"duration_minutes": 0},
     },
     "stg_target_speeds": {
-        "not_null": "machine product target_biscuits_per_hour",
+        "not_null": ("machine", "product", "target_biscuits_per_hour"),
         "min": {"target_biscuits_per_hour": 1},
     },
-    "stg_product": {"not_null": "product_name biscuits_per_pallet", "unique": "product_name"},
-    "stg_machine": {"not_null": "machine_name", "unique": "machine_name"},
+    "stg_product": {
+        "not_null": ("product_name", "biscuits_per_pallet"), "unique": ("product_name",),
+    },
+    "stg_machine": {"not_null": ("machine_name",), "unique": ("machine_name",)},
     "int_events_classified": {
-        "not_null": "is_duration_outlier is_unknown_category",
+        "not_null": ("is_duration_outlier", "is_unknown_category"),
         "in": {"oee_status_group": GROUPS, "stoppage_class": CLASSES},
     },
     "int_daily_machine_product": {
-        "not_null": "machine product event_date planned_time_min",
+        "not_null": ("machine", "product", "event_date", "planned_time_min"),
         "true": {
             "planned_time_min": "> 0", "run_time_min": ">= 0", "downtime_min": ">= 0",
             "availability": "<= 1", "performance": "<= 1", "quality": "<= 1",
         },
     },
     "dim_machine": {
-        "not_null": "machine_key machine_name machine_type", "unique": "machine_key machine_name"
+        "not_null": ("machine_key", "machine_name", "machine_type"),
+        "unique": ("machine_key", "machine_name"),
     },
     "dim_product": {
-        "not_null": "product_key product_name biscuits_per_pallet",
-        "unique": "product_key product_name",
+        "not_null": ("product_key", "product_name", "biscuits_per_pallet"),
+        "unique": ("product_key", "product_name"),
     },
-    "dim_date": {"not_null": "date_key is_weekend", "unique": "date_key"},
+    "dim_date": {"not_null": ("date_key", "is_weekend"), "unique": ("date_key",)},
     "fact_machine_events": {
-        "not_null": "event_id machine_key product_key date_key",
-        "unique": "event_id",
-        "parents": "machine_key:dim_machine product_key:dim_product date_key:dim_date",
+        "not_null": ("event_id", "machine_key", "product_key", "date_key"),
+        "unique": ("event_id",),
+        "parents": {
+            "machine_key": "dim_machine", "product_key": "dim_product", "date_key": "dim_date",
+        },
         "in": {"oee_status_group": GROUPS},
     },
     "fact_oee_daily": {
-        "not_null": "machine_key product_key date_key",
-        "parents": "machine_key:dim_machine product_key:dim_product date_key:dim_date",
-        "true": dict.fromkeys(("availability", "performance", "quality", "oee"), "<= 1"),
+        "not_null": ("machine_key", "product_key", "date_key"),
+        "parents": {
+            "machine_key": "dim_machine", "product_key": "dim_product", "date_key": "dim_date",
+        },
+        "true": {
+            "availability": "<= 1", "performance": "<= 1", "quality": "<= 1", "oee": "<= 1",
+        },
     },
     "mart_oee_monthly_summary": {
-        "not_null": "year_month",
-        "unique": "year_month",
-        "true": dict.fromkeys(("availability", "performance", "quality"), "<= 1"),
+        "not_null": ("year_month",),
+        "unique": ("year_month",),
+        "true": {"availability": "<= 1", "performance": "<= 1", "quality": "<= 1"},
     },
     "mart_whatif_pm_reduction": {
-        "not_null": "machine", "unique": "machine", "true": {"pm_downtime_reduced_min": ">= 0"}
+        "not_null": ("machine",),
+        "unique": ("machine",),
+        "true": {"pm_downtime_reduced_min": ">= 0"},
     },
 }
 
@@ -96,19 +108,19 @@ def suite(source: dict[str, str]) -> str:
             counted = f"SELECT count(*) AS n FROM {name} WHERE {condition}"
             rows.append(_row(table, kind, column, detail, counted))
 
-        for c in spec.get("not_null", "").split():
+        for c in spec.get("not_null", ()):
             failing("not_null", c, "", f"{c} IS NULL")
         for c, values in spec.get("in", {}).items():
-            failing("accepted_values", c, values, f"{c} NOT IN ({values})")
+            counted = f"SELECT count(DISTINCT {c}) AS n FROM {name} WHERE {c} NOT IN ({values})"
+            rows.append(_row(table, "accepted_values", c, values, counted))
         for c, low in spec.get("min", {}).items():
             failing("accepted_range", c, f">= {low}", f"{c} < {low}")
         for c, text in spec.get("true", {}).items():
             failing("expression_is_true", c, text, f"NOT ({c} {text})")
-        for pair in spec.get("parents", "").split():
-            c, parent = pair.split(":")
+        for c, parent in spec.get("parents", {}).items():
             failing("relationships", c, parent,
                     f"{c} NOT IN (SELECT {c} FROM {source.get(parent, parent)})")
-        for c in spec.get("unique", "").split():
+        for c in spec.get("unique", ()):
             counted = (
                 f"SELECT count(*) AS n FROM (SELECT {c} FROM {name} WHERE {c} IS NOT NULL"
                 f" GROUP BY {c} HAVING count(*) > 1)"
@@ -143,8 +155,8 @@ def statements() -> dict[str, str]:
         "k2_unique_composite": "SELECT machine, product, oee_category_raw, count(*) AS n_rows"
         " FROM stg_fact_events WHERE machine IS NOT NULL AND product IS NOT NULL"
         " AND oee_category_raw IS NOT NULL GROUP BY ALL HAVING count(*) > 1",
-        "k3_accepted_values": f"SELECT {event}, oee_status_group, is_duration_outlier,"
-        " is_unknown_category, stoppage_class FROM bad_classified WHERE oee_status_group = 'IDLE'",
+        "k3_accepted_values": "SELECT oee_status_group AS value, count(*) AS n_rows"
+        f" FROM bad_classified WHERE oee_status_group NOT IN ({GROUPS}) GROUP BY ALL",
         "k4_relationships": "SELECT machine_key, count(*) AS n_rows FROM bad_fact"
         " WHERE machine_key NOT IN (SELECT machine_key FROM dim_machine) GROUP BY machine_key",
         "k5_accepted_range": f"SELECT {event} FROM bad_events WHERE duration_minutes < 0",

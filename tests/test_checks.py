@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from millwright.plans import checks, intermediate
+from millwright.plans import checks
 from millwright.plans.build import build_scratch, compose
 from rows import CC, JUNK, NO, RUN, START, event, raw_fact, raw_tables
 
@@ -97,7 +97,43 @@ def test_quality_profile(spark):
     ]
     raw = raw_fact(spark, rows)
     classified = compose(raw_tables(spark, rows)).int_events_classified
-    row = checks.quality_profile(raw, classified, intermediate.day_groups(classified)).first()
+    row = checks.quality_profile(raw, classified).first()
     assert row.asDict() == {
         "raw_rows": 4, "event_rows": 3, "duplicate_rows": 1, "outlier_rows": 1, "unknown_rows": 1,
         "no_order_rows": 1, "good_above_total_rows": 3, "day_groups": 2, "dropped_day_groups": 1}
+
+
+def test_suite_counts_values_keys_and_rows(spark):
+    """Every kind of check in one pass, against plain counting."""
+    child = spark.createDataFrame(
+        [("a", "x", 1, "p"), ("a", "y", 2, "p"), ("b", "z", -1, "q"), (None, "z", None, None),
+         ("b", "w", 5, "r"), ("b", None, 5, "r")], "k string, v string, n int, f string")
+    parent = spark.createDataFrame([("p",), ("p",), ("q",), (None,)], "f string")
+    suite = [
+        checks.Check("child", "unique", "k"), checks.Check("child", "unique", ("k", "n")),
+        checks.Check("child", "accepted_values", "v", values=("x", "y")),
+        checks.Check("child", "relationships", "f", parent="parent"),
+        checks.Check("child", "not_null", "n"), checks.Check("child", "accepted_range", "n", minimum=0),
+        checks.Check("child", "expression_is_true", "n", expression="< 5"),
+        checks.Check("parent", "unique", "f"),
+    ]
+    found = checks.run_suite({"child": child, "parent": parent}, suite).collect()
+    assert {(r.table_name, r.check_kind, r.column_name): r.failures for r in found} == {
+        ("child", "unique", "k"): 2, ("child", "unique", "k, n"): 1,
+        ("child", "accepted_values", "v"): 2, ("child", "relationships", "f"): 2,
+        ("child", "not_null", "n"): 1, ("child", "accepted_range", "n"): 1,
+        ("child", "expression_is_true", "n"): 2, ("parent", "unique", "f"): 1}
+    values = checks.check_accepted_values(child, "v", ("x", "y"))
+    assert sorted(map(tuple, values.collect())) == [("w", 1), ("z", 2)]
+
+
+def test_composite_keys_are_not_confused(spark):
+    df = spark.createDataFrame([("1:a", "b"), ("1", "a1:b"), ("a", ""), ("", "a")], "x string, y string")
+    suite = [checks.Check("t", "unique", ("x", "y"))]
+    assert checks.run_suite({"t": df}, suite).first().failures == 0
+
+
+def test_suite_over_empty_tables_passes(spark, models):
+    empty = {name: df.limit(0) for name, df in models.items()}
+    result = checks.run_suite(empty)
+    assert result.count() == 72 and failures(result) == {}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from millwright import fixtures
 from millwright.operators.dedup import dedup_events
 from millwright.operators.joins import lookup_join, orphans
-from millwright.plans import build, reports, staging
+from millwright.plans import build, checks, reports, staging
 from millwright.sources.raw import RawTables
 from rows import CC, RUN, START, event, raw_fact
 
@@ -81,12 +81,47 @@ def test_reports_read_only_their_columns(spark, raw):
     stored = build.build_scratch(raw)
     text = plan(reports.report("oee_trend", stored, reports.Filters(
         (dt.date(2024, 1, 1), dt.date(2024, 1, 3)))))
-    assert "ReadSchema: struct<date_key:date,oee:double>" in text
+    assert "ReadSchema: struct<date_key:date,oee_n:bigint,oee_sum:double>" in text
     assert "GreaterThanOrEqual(date_key,2024-01-01)" in text
     text = plan(reports.report("worst_machine", stored))
     assert "TakeOrderedAndProject" in text
 
 
+def test_stored_reports_read_rollups_only(spark, raw):
+    stored = build.build_scratch(raw)
+    for key in reports.REPORTS:
+        text = plan(reports.report(key, stored))
+        assert not re.search("fact_machine_events|fact_oee_daily|raw_fact|events.parquet", text), key
+        assert "WindowGroupLimit" not in text or key == "oee_machine", key
+
+
+def test_lazy_filtered_reports_scan_events_with_their_filter(raw):
+    day = dt.date(2024, 1, 10)
+    for key in ("kpi_oee", "oee_trend", "downtime_cat", "perf_gap"):
+        text = plan(reports.report(key, build.compose(raw), reports.Filters((day, day))))
+        scans = re.findall(r"FileScan parquet \[[^\]]*\bts#.*", text)
+        assert len(scans) == 1 and "GreaterThanOrEqual(ts,2024-01-10T00:00)" in scans[0], key
+
+
+def test_lazy_daily_fact_scans_the_events_once(raw):
+    text = plan(build.compose(raw).fact_oee_daily)
+    assert len(re.findall(r"FileScan parquet \[[^\]]*\bts#", text)) == 1
+
+
+def test_profile_deduplicates_once(raw):
+    text = plan(checks.quality_profile(raw.raw_fact, build.compose(raw).int_events_classified))
+    assert text.count("WindowGroupLimit") == 2  # one deduplication, on both sides of its exchange
+
+
+def test_suite_scans_each_table_once_with_one_exchange_of_findings(spark, raw):
+    stored = build.build_scratch(raw, events_stored=True)
+    text = plan(checks.run_suite(stored.tables()))
+    assert text.count("FileScan parquet") == len(build.Models.NAMES) == 13
+    assert "events.parquet" not in text
+    assert len(re.findall(r"Exchange hashpartitioning\(check#\d+, key#\d+", text)) == 1
+    assert "Window" not in text
+
+
 def test_big_lookups_are_not_broadcast_and_give_the_same_rows(spark, raw):
     small = rows_of(build.compose(raw).fact_oee_daily)
     with conf(spark, **{
