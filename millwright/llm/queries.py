@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from millwright.llm import (
-    bpe, codes, embeddings, extraction, language, lines, minhash, packing, passages, phrases,
-    pii, quality, suffixes,
+    bpe, codes, embeddings, extraction, language, lines, minhash, oracle, packing, passages,
+    phrases, pii, quality, suffixes,
 )
 from millwright.llm.common import documents, vocabulary_path
 
@@ -86,4 +86,4 @@ def _(spark, sf_dir):
     return phrases.collocations(documents(spark, sf_dir))
 
 
-ORACLE_SQL = {}
+ORACLE_SQL = dict(oracle.STATEMENTS)
