@@ -551,6 +551,8 @@ STATEMENTS: dict[str, str] = {
     "d16_hours": f"SELECT machine, oee_category_raw, {hours('duration_minutes')} AS hours"
     " FROM fact_machine_events GROUP BY ALL",
     "e1_dedup_events": f"SELECT {STAGED} FROM stg_fact_events",
+    "e1_merged_extract": f"SELECT {STAGED} FROM stg_fact_events",
+    "g7_merged_extract": f"SELECT {FACT} FROM fact_oee_daily",
     "e1_dedup_other_key": f"""
         SELECT {STAGED} FROM trimmed
         QUALIFY 1 = row_number() OVER (PARTITION BY machine, product

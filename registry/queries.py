@@ -31,7 +31,7 @@ from millwright.plans import (
 )
 from millwright.schemas import EVENT_KEY
 from millwright.scratch import scratch_database, scratch_path
-from millwright.sources import load, raw, tables
+from millwright.sources import event_store, load, raw, tables
 
 AS_OF = dt.datetime(2024, 2, 1)
 # fixed values: the row counts of the source's own extracts
@@ -599,6 +599,37 @@ def _(p):
     return dedup_events(trimmed, ("machine", "product"), "total_biscuits_made")
 
 
+def _late(p: Plant) -> tuple[DataFrame, DataFrame]:
+    """Raw events as first loaded, and a late extract: two weeks, and every seventh repeated."""
+    start = F.col("startdatetime")
+    late = F.to_date(start).between(*JANUARY)
+    repeated = F.pmod(F.xxhash64("machine", "product", start), F.lit(7)) == 0
+    first = p.raw.raw_fact.filter(~late | start.isNull())
+    return first, p.raw.raw_fact.filter(late | repeated)
+
+
+@query("e1_merged_extract")
+def _(p):
+    """The event store after a late extract was merged into its months."""
+    layer = _scratch_layer(p)
+    first, late = _late(p)
+    event_store.create_store(first, layer, buckets=8)
+    event_store.merge(late, layer)
+    return event_store.stored_events(p.spark, layer).drop("year_month")
+
+
+@query("g7_merged_extract")
+def _(p):
+    """The daily fact of marts whose months were rebuilt from the merged store."""
+    staging_layer, layer = _scratch_layer(p), _scratch_layer(p)
+    first, late = _late(p)
+    events = event_store.create_store(first, staging_layer, buckets=8)
+    store = partial(build.store_mart, layer=layer)
+    build.Models(replace(p.raw, raw_fact=first), store=store, staged=events).built()
+    build.merge_extract(p.raw, late, staging_layer=staging_layer, layer=layer)
+    return p.spark.table(f"{layer}.fact_oee_daily").drop("year_month")
+
+
 @query("f3_ranked")
 def _(p):
     by_pair = p.fact.groupBy("machine", "product").agg(num.pct("quality", 1).alias("quality_pct"))
