@@ -355,7 +355,7 @@ def word_counts(docs: DataFrame, specials: tuple[str, ...], text: str = "text")
 
         return work
 
-    rows = map_rows(docs, [text], "word binary, n bigint", make)
+    rows = map_rows(docs, [text], "word binary, n bigint", make, sliced=text)
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -416,4 +416,5 @@ def encode_decode(
     return map_rows(
         docs, [key, text],
         f"{key} {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string", make,
+        sliced=text,
     )

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_VOCABULARY_BYTES = 64 * 2**20
+SLICE_BYTES = 2**20
 
 
 def vocabulary_path(name: str) -> str:
@@ -32,11 +33,14 @@ def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> Dat
 
 
 def map_rows(
-    df: DataFrame, columns: list[str], schema: str, make: Callable[[], Callable]
+    df: DataFrame, columns: list[str], schema: str, make: Callable[[], Callable],
+    sliced: str | None = None,
 ) -> DataFrame:
     """Map Arrow batches of ``columns`` through a function made once per task.
 
-    ``make`` runs in the task and returns ``batch_lists -> dict of lists``.
+    ``make`` runs in the task and returns ``batch_lists -> dict of lists``. ``sliced`` names
+    a text column by whose bytes batches are cut first, for functions that hold the words of
+    all texts they are given.
     """
     from pyspark.sql.types import StructType
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -45,6 +49,8 @@ def map_rows(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
+        if sliced:
+            batches = text_slices(batches, sliced, SLICE_BYTES)
         for batch in batches:
             if batch.num_rows:
                 found = work(*(column.to_pylist() for column in batch.columns))

@@ -128,7 +128,7 @@ def token_pieces(
     return map_rows(
         docs, [key, text],
         f"{key} {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint,"
-        " task int, task_index bigint", make,
+        " task int, task_index bigint", make, sliced=text,
     )
 
 
