@@ -10,6 +10,7 @@ with brute-force versions.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millwright.llm import lines, minhash, packing, pii, quality
 from millwright.llm.common import documents, vocabulary_path
@@ -31,9 +32,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
-    gone = minhash.near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group of near duplicates stays: the smallest id, null last.
+
+    Every row is a document, whatever its id: rows are numbered when they are stored, compared
+    by number, and removed by number. Rows without words are never near anything and stay.
+    """
+    row = "near_dedup_row"
+    numbered = store(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    groups = minhash.near_duplicates(numbered.select(row, "text"), key=row)
+    members = numbered.select(row, "doc_id").join(groups.select(row, "component_id"), row)
+    # hot groups are partial minima before they meet
+    place = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", row)
+    first = members.groupBy("component_id").agg(F.min(place).alias("first"))
+    kept = numbered.join(first.select(F.col(f"first.{row}").alias(row)), row, "left_semi")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
