@@ -350,20 +350,21 @@ def keep_first(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHA
         ~(F.col("kept") & (F.col("row") == F.col("first_row"))
           & (F.col("line_no") == F.col("first_no")))
     )
-    per_doc = hit.groupBy("row").agg(F.collect_set("line_no").alias("gone"))
+    # named apart from whatever columns the documents bring along
+    per_doc = hit.groupBy(F.col("row").alias(ROW)).agg(F.collect_set("line_no").alias("__gone"))
     name = F.col(f"`{text}`")
-    joined = docs.join(per_doc, docs[ROW] == per_doc["row"], "left")
+    joined = docs.join(per_doc, ROW, "left")
     left = F.concat_ws("\n", F.filter(
-        F.split(name, "\n"), lambda line, i: ~F.array_contains(F.col("gone"), i)))
-    done = joined.withColumn("__new", F.when(F.col("gone").isNull(), name).otherwise(left))
-    stays = F.col("gone").isNull() | F.col("__new").rlike(r"[^\s]")
+        F.split(name, "\n"), lambda line, i: ~F.array_contains(F.col("__gone"), i)))
+    done = joined.withColumn("__new", F.when(F.col("__gone").isNull(), name).otherwise(left))
+    stays = F.col("__gone").isNull() | F.col("__new").rlike(r"[^\s]")
     columns = []
     for f in docs.drop(ROW).schema:
         c = F.col(f"`{f.name}`")
         if f.name == text:
             c = F.col("__new")
         elif f.name == length:
-            c = F.when(F.col("gone").isNotNull(), F.char_length("__new").cast(f.dataType)
+            c = F.when(F.col("__gone").isNotNull(), F.char_length("__new").cast(f.dataType)
                        ).otherwise(c)
         columns.append(c.alias(f.name))
     return done.where(stays).select(*columns)
