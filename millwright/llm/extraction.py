@@ -360,12 +360,18 @@ def main_text(source: str | None, weights: Weights) -> str:
 
 
 def labelled_sample(pages: DataFrame, sample: int = SAMPLE) -> list[str]:
-    """Pages that mark their article, in the order of a hash; a bounded number."""
+    """Different pages that mark their article, in the order of a hash; a bounded number.
+
+    Hashes alone are put in order first; then only the pages of the least ones travel.
+    """
     marked = pages.where(F.col("html").rlike("(?i)<(article|main)[ >]")).where(
         F.char_length("html") <= SAMPLE_CHARS
-    )
-    rows = marked.select(F.xxhash64("html").alias("h"), "html").orderBy("h").limit(sample)
-    return [r.html for r in rows.collect()]
+    ).select(F.xxhash64("html").alias("h"), "html")
+    least = [r.h for r in marked.select("h").distinct().orderBy("h").limit(sample).collect()]
+    if not least:
+        return []
+    rows = marked.where(F.col("h") <= least[-1]).groupBy("h").agg(F.min("html").alias("html"))
+    return [r.html for r in sorted(rows.collect(), key=lambda r: r.h)]
 
 
 def extract(pages: DataFrame, weights: Weights) -> DataFrame:
