@@ -211,15 +211,22 @@ def train(documents: list[tuple[list[str], int]], rounds: int = 120, l2: float =
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, sample: int = SAMPLE
 ) -> list[tuple[list[str], int]]:
-    """At most ``sample`` documents of each quality label, in the order of a hash."""
+    """At most ``sample`` documents of each quality label, in the order of a hash.
+
+    Labels without a document, and documents of more than ``SAMPLE_CHARS`` characters, take no
+    place in the sample. Of several rows of one id the least text stands for all.
+    """
+    texts = docs.where(F.char_length("text") <= SAMPLE_CHARS).select("doc_id", "text")
     known = labels.where("quality in (0, 1)").select("doc_id", "quality").distinct()
+    known = known.join(texts.select("doc_id"), "doc_id", "left_semi")
     order = F.xxhash64("doc_id")
     some = [known.where(F.col("quality") == q).orderBy(order, "doc_id").limit(sample)
             for q in (0, 1)]
-    texts = docs.where(F.char_length("text") <= SAMPLE_CHARS).select("doc_id", "text")
-    # two bounded sides of some hundred ids each
-    rows = texts.join(F.broadcast(some[0].union(some[1])), "doc_id").collect()
-    return [(split_lines(r.text), r.quality) for r in sorted(rows, key=lambda r: r.doc_id)]
+    # two bounded sides of some hundred ids each, and one row for each of them
+    rows = texts.join(F.broadcast(some[0].union(some[1])), "doc_id").groupBy(
+        "doc_id", "quality").agg(F.min("text").alias("text")).collect()
+    ordered = sorted(rows, key=lambda r: (r.doc_id, r.quality))
+    return [(split_lines(r.text), r.quality) for r in ordered]
 
 
 def content_share(field: LineField, text: str) -> float:

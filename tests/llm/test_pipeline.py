@@ -162,3 +162,34 @@ def test_run_is_the_stages_one_after_the_other(spark, sf_dir):
     packed = pipeline.run(spark, sf_dir)
     found = {r.doc_id for r in packed.select("doc_id").distinct().collect()}
     assert found == kept and 0 < len(kept) < documents(spark, sf_dir).count()
+
+
+def test_samples_are_bounded_whatever_repeats(spark):
+    """Foreign labels take no places, repeated ids and pages count once."""
+    from millwright.llm import extraction
+
+    docs = frame(spark, [(i % 7, f"text {i % 7}\nline") for i in range(200)] + [(9, "x" * 30_000)])
+    labels = spark.createDataFrame(
+        [(i, i % 2) for i in range(7)] + [(9, 1)] + [(i, 1) for i in range(1000, 3000)],
+        "doc_id long, quality int")
+    sample = quality.labelled_sample(docs, labels, sample=3)
+    assert sorted((lines_[0], q) for lines_, q in sample) == sorted(sample_of(3))
+    page = "<html><article>{}</article></html>"
+    pages = spark.createDataFrame(
+        [(i, "u", page.format(i % 5)) for i in range(100)] + [(200, "u", None), (201, "u", "<p>")],
+        "page_id long, url string, html string")
+    assert sorted(extraction.labelled_sample(pages, 50)) == [page.format(i) for i in range(5)]
+    assert len(extraction.labelled_sample(pages, 3)) == 3
+    assert extraction.labelled_sample(pages.limit(0)) == []
+
+
+def sample_of(n):
+    import xxhash
+
+    def spark_hash(i):  # Spark's seed is 42
+        value = xxhash.xxh64_intdigest(i.to_bytes(8, "little"), 42)
+        return value - 2**64 if value >= 2**63 else value
+
+    for q in (0, 1):
+        ids = sorted((i for i in range(7) if i % 2 == q), key=spark_hash)[:n]
+        yield from ((f"text {i}", q) for i in ids)
