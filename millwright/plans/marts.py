@@ -139,7 +139,7 @@ def whatif_pm(fact_daily: DataFrame, reduction: Decimal = DEFAULTS.pm_reduction)
     sums = fact_daily.groupBy("machine").agg(
         *measure_sums(("pm_downtime_min", "run_time_min", "total_biscuits_made"))
     )
-    # 28,6 x 9,8 digits multiply to exactly 38,14: a share of 1 or with many digits is no limit
+    # a share keeps eight digits; 28,6 x 9,8 digits multiply to exactly 38,14
     saved = F.col("pm_downtime_min").cast("decimal(28,6)") * F.lit(reduction).cast("decimal(9,8)")
     throughput = per_hour("total_biscuits_made", "run_time_min")
     extra_hours = F.col("pm_downtime_reduced_min").cast("double") / 60
