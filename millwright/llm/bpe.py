@@ -19,17 +19,18 @@ import json
 import mmap
 import tempfile
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwright.llm.common import map_rows, read_vocabulary
+from millwright.llm.common import SLICE_BYTES, map_rows, read_vocabulary, text_slices
 from millwright.scratch import drop, store
 
 LEXICON_WORDS = 100_000
@@ -296,7 +297,9 @@ class Coder:
 
     def __init__(self, merges: Merges, lexicon: Transducer, cached: int = CACHED_CHUNKS):
         self.merges, self.lexicon, self.cached = merges, lexicon, cached
+        # chunks of late, and those of the time before, which are forgotten unless met again
         self.known: dict[str, tuple[str, int, bytes]] = {}
+        self.before: dict[str, tuple[str, int, bytes]] = {}
 
     def word_ids(self, words: list[str]) -> list[list[int]]:
         raw = [w.encode() for w in words]
@@ -322,9 +325,12 @@ class Coder:
     def texts(self, texts: list[str | None]) -> list[Encoded]:
         cut = [chunks(t) if t else [] for t in texts]
         here = set().union(*cut)
-        if len(self.known) > self.cached:  # keep what is in use
-            self.known = {c: self.known[c] for c in here if c in self.known}
-        self.learn(list(here.difference(self.known)))
+        if len(self.known) > self.cached // 2:
+            self.before, self.known = self.known, {}
+        missing = here.difference(self.known)
+        again = missing.intersection(self.before)
+        self.known.update(zip(again, map(self.before.__getitem__, again)))
+        self.learn(list(missing.difference(again)))
         out, known = [], self.known.__getitem__
         for cs in cut:
             ids, ns, data = zip(*map(known, cs)) if cs else ((), (), ())
@@ -339,23 +345,31 @@ def coder(vocabulary_json: str, lexicon: bytes) -> Coder:
 
 
 def word_counts(docs: DataFrame, specials: tuple[str, ...], text: str = "text") -> DataFrame:
-    """(word, n) over all texts; counted in each batch before rows meet."""
+    """(word, n) over all texts; counted in each task, in bounded portions, before rows meet."""
 
-    def make():
-        def work(texts):
-            seen = Counter()
-            for t in texts:
-                if t:
-                    seen.update(chunks(t))
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = Counter()
+
+        def flush():
             words = Counter()
             for chunk, n in seen.items():
                 for word in split_words(chunk, specials):
                     words[word] += n
-            return {"word": [w.encode() for w in words], "n": list(words.values())}
+            seen.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array([w.encode() for w in words], pa.binary()),
+                 pa.array(list(words.values()), pa.int64())], names=["word", "n"])
 
-        return work
+        for part in text_slices(batches, text, SLICE_BYTES):
+            for t in part.column(text).to_pylist():
+                if t:
+                    seen.update(chunks(t))
+            if len(seen) > CACHED_CHUNKS:
+                yield flush()
+        if seen:
+            yield flush()
 
-    rows = map_rows(docs, [text], "word binary, n bigint", make, sliced=text)
+    rows = docs.select(F.col(f"`{text}`")).mapInArrow(counted, "word binary, n bigint")
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 

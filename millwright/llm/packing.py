@@ -50,7 +50,9 @@ class WordIds:
         self.tokenizer.no_padding()
         self.divider = divider
         self.divider_id = self.tokenizer.token_to_id(divider)
-        self.known: dict[str, np.ndarray] = {}
+        # words of late, and those of the time before, which are forgotten unless met again
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def learn(self, new: list[str]) -> None:
         plain = [w for w in new if "<|" not in w]
@@ -72,9 +74,12 @@ class WordIds:
         """Little-endian 32-bit ids of each text."""
         cut = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
         here = set().union(*cut)
-        if len(self.known) > CACHED_WORDS:  # keep what is in use
-            self.known = {w: self.known[w] for w in here if w in self.known}
-        self.learn(list(here.difference(self.known)))
+        if len(self.known) > CACHED_WORDS // 2:
+            self.before, self.known = self.known, {}
+        missing = here.difference(self.known)
+        again = missing.intersection(self.before)
+        self.known.update(zip(again, map(self.before.__getitem__, again)))
+        self.learn(list(missing.difference(again)))
         known = self.known.__getitem__
         return [b"".join(map(known, words)) for words in cut]
 
