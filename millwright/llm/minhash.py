@@ -9,22 +9,27 @@ probability 2**-BITS, so a count m of k estimates the similarity as
 the threshold or above are confirmed on the full sets.
 
 No group is expanded into all its pairs. Equal sets are one class from the start. In each band
-group members are paired with the smallest one; confirmed links make components; then only
-pairs of *different* components that share a band are compared, by signature inside the join.
-What stays apart after that shares no band or was confirmed not to be a link.
-
-Null and empty texts have an empty set and are linked with nothing. Rows with equal ids are
-one document (their sets are merged into one answer per row); a null id is never linked.
+group members are paired with one pivot, another in every turn; confirmed links make
+components, and a turn compares only those that are not in their pivot's component. Once turns
+link few more, members of bands that still hold *different* components are compared where they
+share one of their rarest shingles, as two linked sets do, by size and signature inside the join.
+What stays apart after that shares no band or is no link, so turns change the number of pairs
+and no result.
+
+Null and empty texts have an empty set and are linked with nothing. Every row is a document of
+its own: rows with one id and different texts are compared as such, each has the smallest id of
+its component, and those that bear it are kept. A null id is never linked.
 """
 
 from __future__ import annotations
 
 import gc
 from functools import lru_cache
+from itertools import count
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millwright.llm.common import map_rows
@@ -38,6 +43,7 @@ ROWS = 4  # minima per band: a pair at 0.75 shares none of 32 bands once in 200,
 BITS = 4
 CACHED_WORDS = 500_000
 PAIRS_AT_ONCE = 500  # pairs of one pivot that a group confirms
+LEAST_GAIN = 50  # stars go on while a turn links one in so many of those left apart
 
 FIELD_LOW = 0x1111111111111111  # the lowest bit of each 4-bit field
 
@@ -109,13 +115,17 @@ def band_keys(least: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, n_shingles, digest of the set, packed signature, band keys)."""
+    """(id, tie, n_shingles, digest of the set, packed signature, band keys).
+
+    ``tie`` tells texts of one id apart.
+    """
 
     def make():
         gc.disable()
 
-        def work(ids, texts):
-            out = {"id": ids, "n_shingles": [], "digest": [], "signature": [], "bands": []}
+        def work(ids, ties, texts):
+            out = {"id": ids, "tie": ties, "n_shingles": [], "digest": [], "signature": [],
+                   "bands": []}
             for t in texts:
                 values = shingles(t)
                 out["n_shingles"].append(len(values))
@@ -132,13 +142,20 @@ def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
         return work
 
     return map_rows(
-        docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")),
-        ["id", "text"],
-        "id bigint, n_shingles bigint, digest binary, signature array<bigint>,"
+        texts_by_id(docs, key, text), ["id", "tie", "text"],
+        "id bigint, tie bigint, n_shingles bigint, digest binary, signature array<bigint>,"
         " bands array<bigint>", make,
     )
 
 
+def texts_by_id(docs: DataFrame, key: str, text: str) -> DataFrame:
+    name = F.col(f"`{text}`")
+    return docs.select(
+        F.col(f"`{key}`").cast("long").alias("id"), F.xxhash64(name).alias("tie"),
+        name.alias("text"),
+    )
+
+
 def agreeing_fields(left: Column, right: Column) -> Column:
     """How many fields two packed signatures share; only bit operations."""
     equal = F.lit(0)
@@ -204,87 +221,196 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per row of ``docs``: its key, n_shingles, component_id and kept."""
     signed = store(signatures(docs, key, text), "signatures")
-    real = signed.where("id is not null and digest is not null")
-    # equal sets: one representative each
-    classes = real.groupBy("digest").agg(
-        F.min("id").alias("rep"), F.first("signature").alias("signature"),
-        F.first("bands").alias("bands"),
-    )
-    classes = store(classes, "classes")
-    same = real.join(classes.select("digest", "rep"), "digest").select(
-        F.col("id").alias("a"), F.col("rep").alias("b")
-    ).where("a <> b")
-    reps = classes.groupBy("rep").agg(
-        F.first("signature").alias("signature"), F.first("bands").alias("bands")
+    # equal sets are one class, numbered as it is written
+    place = F.struct("id", "tie")
+    classes = store(
+        signed.where("id is not null and digest is not null").groupBy("digest").agg(
+            F.min(place).alias("first"), F.first("n_shingles").alias("size"),
+            F.first("signature").alias("signature"), F.first("bands").alias("bands"),
+        ).select(F.monotonically_increasing_id().alias("rep"), "*"),
+        "classes",
     )
-    members = reps.select(F.col("rep").alias("id"), F.explode("bands").alias("band"))
-    groups = members.groupBy("band").agg(F.min("id").alias("pivot"), F.count("*").alias("n"))
-    grouped = members.join(groups.where("n > 1").select("band", "pivot"), "band")
-    grouped = store(grouped, "band-groups")
-    if grouped.isEmpty():
-        links = same
-        tables = []
+    links = class_links(docs, classes, threshold, key, text)
+    if links is None:
+        placed = classes.select("digest", F.col("first.id").alias("component_id"))
     else:
-        involved = grouped.select("id").distinct()
-        sets = store(shingle_sets(docs, involved, key, text), "shingle-sets")
-        signature = store(
-            reps.join(involved, reps.rep == involved.id).select("id", "signature"), "involved"
-        )
-        enough = least_agreeing(threshold)
-        stars = grouped.where("pivot <> id").select(
-            F.col("pivot").alias("a"), F.col("id").alias("b")
-        ).distinct()
-        first = store(confirm(_likely(stars, signature, enough), sets, threshold), "links")
-        links = first.unionByName(same)
-        # what the stars left apart
-        known = store(components(first), "components")
-        placed = grouped.select("band", "id").join(known, "id", "left").select(
-            "band", "id", F.coalesce("component_id", "id").alias("component")
-        )
-        mixed_bands = placed.groupBy("band").agg(
-            F.min("component").alias("low"), F.max("component").alias("high")
-        ).where("low < high").select("band")
-        apart = store(
-            placed.join(mixed_bands, "band").join(signature, "id"), "apart"
+        found = components(links).withColumnRenamed("id", "rep")
+        placed = store(
+            classes.select("rep", "digest", F.col("first.id").alias("id")).join(
+                found, "rep", "left"
+            ).select("digest", "id", F.coalesce("component_id", "rep").alias("component")),
+            "placed",
         )
-        tables = [sets, signature, first, known, apart]
-        if not apart.isEmpty():
-            x, y = apart.alias("x"), apart.alias("y")
-            more = x.join(
-                y,
-                (F.col("x.band") == F.col("y.band"))
-                & (F.col("x.component") < F.col("y.component"))
-                & (agreeing_fields(F.col("x.signature"), F.col("y.signature")) >= enough),
-            ).select(
-                F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")
-            ).distinct()
-            links = links.unionByName(confirm(store(more, "pairs"), sets, threshold))
-    found = store(components(links), "components")
-    drop(classes, grouped, *tables)
+        least = placed.groupBy("component").agg(F.min("id").alias("component_id"))
+        placed = placed.join(least, "component").select("digest", "component_id")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return (
-        signed.select("id", "n_shingles").join(found, "id", "left")
+        signed.select("id", "n_shingles", "digest").join(placed, "digest", "left")
         .select(
             F.col("id").cast(docs.schema[key].dataType).alias(key), "n_shingles",
-            F.coalesce("component_id", "id").alias("component_id"),
-            F.coalesce(F.col("id") == F.coalesce("component_id", "id"), F.lit(True)).alias("kept"),
+            component.alias("component_id"),
+            F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
         )
     )
 
 
-def _likely(pairs: DataFrame, signature: DataFrame, enough: int) -> DataFrame:
-    left = signature.select(F.col("id").alias("a"), F.col("signature").alias("left"))
-    right = signature.select(F.col("id").alias("b"), F.col("signature").alias("right"))
-    both = pairs.join(left, "a").join(right, "b")
+def class_links(
+    docs: DataFrame, classes: DataFrame, threshold: tuple[int, int], key: str, text: str
+) -> DataFrame | None:
+    """Links (a, b) that join all classes of one component; None where no band is shared."""
+    members = classes.select(F.col("rep").alias("id"), F.explode("bands").alias("band"))
+    shared = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
+    grouped = store(members.join(shared, "band"), "band-groups")
+    if grouped.isEmpty():
+        drop(grouped)
+        return None
+    involved = store(
+        classes.join(grouped.select(F.col("id").alias("rep")).distinct(), "rep").select(
+            F.col("rep").alias("id"), "first", "size", "signature"),
+        "involved",
+    )
+    sets = store(shingle_sets(docs, involved, key, text), "shingle-sets")
+    links, known, enough = None, None, least_agreeing(threshold)
+    for turn in count(1):
+        # what shares a band and is not in one component yet
+        component = grouped.withColumn("component", F.col("id")) if known is None else (
+            grouped.join(known, "id", "left").withColumn(
+                "component", F.coalesce("component_id", "id")).drop("component_id"))
+        pivots = component.groupBy("band").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"),
+            F.min(F.struct(F.xxhash64("id", F.lit(turn)), "id", "component")).alias("pivot"),
+        ).where("low < high").select("band", "pivot")
+        apart = store(component.join(pivots, "band"), "apart")
+        size = apart.select("id").distinct().count()
+        if not size:
+            break
+        stars = apart.where("component <> pivot.component").select(
+            F.col("pivot.id").alias("a"), F.col("id").alias("b")
+        ).distinct()
+        pairs = _likely(stars, involved, enough, threshold)
+        now = store(confirm(pairs, sets, threshold), "links")
+        gain = now.count()
+        if gain:
+            links = now if links is None else links.unionByName(now)
+            if known is not None:
+                drop(known)
+            known = store(components(links), "components")
+        drop(apart, pairs)
+        if gain * LEAST_GAIN < size:
+            break
+    if size:
+        more = _rest(grouped, known, involved, sets, enough, threshold)
+        now = store(confirm(more, sets, threshold), "links")
+        drop(more)
+        links = now if links is None else links.unionByName(now)
+    drop(grouped, involved, sets)
+    if known is not None:
+        drop(known)
+    return links
+
+
+def _rest(
+    grouped: DataFrame, known: DataFrame | None, involved: DataFrame, sets: DataFrame,
+    enough: int, threshold: tuple[int, int],
+) -> DataFrame:
+    """Likely pairs of different components among what shares a mixed band.
+
+    Texts that have a long passage in common fill whole bands without being links, so pairs are
+    not met by band: two sets that reach the threshold share one of their rarest shingles.
+    """
+    placed = grouped.select("band", "id", F.col("id").alias("component"))
+    if known is not None:
+        placed = grouped.join(known, "id", "left").select(
+            "band", "id", F.coalesce("component_id", "id").alias("component"))
+    mixed_bands = placed.groupBy("band").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
+    ).where("low < high").select("band")
+    apart = placed.join(mixed_bands, "band").select("id", "component").distinct()
+    apart = store(apart.join(involved.select("id", "size"), "id"), "apart")
+    keys = store(_rarest(apart, sets, threshold), "rarest")
+    # the largest component of a shingle is never compared with itself
+    parts = keys.groupBy("shingle", "component").agg(F.count("*").alias("n"))
+    mains = parts.groupBy("shingle").agg(
+        F.max(F.struct("n", "component")).alias("main"), F.count("*").alias("parts")
+    ).where("parts > 1").select("shingle", F.col("main.component").alias("main"))
+    met = store(keys.join(mains, "shingle"), "rarest")
+    x, y = met.where("component <> main").alias("x"), met.alias("y")
+    over, under = threshold
+    # where two sets meet first, they have in common what follows there at most
+    common = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place")) + 1
+    more = x.join(
+        y,
+        (F.col("x.shingle") == F.col("y.shingle"))
+        & (F.col("x.component") != F.col("y.component"))
+        & ((F.col("y.component") == F.col("y.main"))
+           | (F.col("x.component") < F.col("y.component")))
+        & _sizes_allow(F.col("x.size"), F.col("y.size"), threshold)
+        & (common * (over + under) >= (F.col("x.size") + F.col("y.size")) * over),
+    ).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    pairs = _likely(more, involved, enough, threshold)
+    drop(apart, keys, met)
+    return pairs
+
+
+def _rarest(apart: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """(id, component, size, shingle, place): of a set of n the rarest n - ceil(n * threshold) + 1.
+
+    Shingles are placed by the number of sets that hold them, then by value, alike in all sets;
+    those that one set alone holds come first and are left out.
+    """
+    over, under = threshold
+
+    def make():
+        def work(ids, components, sizes, datas):
+            return {
+                "id": [i for i, n in zip(ids, sizes) for _ in range(n)],
+                "component": [c for c, n in zip(components, sizes) for _ in range(n)],
+                "size": [n for n in sizes for _ in range(n)],
+                "shingle": np.concatenate([np.frombuffer(d, np.int64) for d in datas]),
+            }
+
+        return work
+
+    rows = map_rows(
+        apart.join(sets, "id"), ["id", "component", "size", "data"],
+        "id bigint, component bigint, size bigint, shingle bigint", make)
+    shared = rows.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    per_set = Window.partitionBy("id")
+    placed = rows.join(shared, "shingle").withColumn(
+        "place", F.col("size") - F.count("*").over(per_set)
+        + F.row_number().over(per_set.orderBy("n", "shingle")))
+    rarest = F.expr(f"size - (size * {over} + {under} - 1) div {under} + 1")
+    return placed.where(F.col("place") <= rarest).drop("n")
+
+
+def _sizes_allow(left: Column, right: Column, threshold: tuple[int, int]) -> Column:
+    """Sets share at most the smaller one and unite to the larger one at least."""
+    over, under = threshold
+    return F.least(left, right) * under >= F.greatest(left, right) * over
+
+
+def _likely(
+    pairs: DataFrame, involved: DataFrame, enough: int, threshold: tuple[int, int]
+) -> DataFrame:
+    both = pairs
+    for name in ("a", "b"):
+        both = both.join(
+            involved.select(F.col("id").alias(name), F.col("size").alias(f"{name}_size"),
+                            F.col("signature").alias(f"{name}_signature")), name)
     return store(
-        both.where(agreeing_fields(F.col("left"), F.col("right")) >= enough).select("a", "b"),
+        both.where(
+            _sizes_allow(F.col("a_size"), F.col("b_size"), threshold)
+            & (agreeing_fields(F.col("a_signature"), F.col("b_signature")) >= enough)
+        ).select("a", "b"),
         "pairs",
     )
 
 
-def shingle_sets(docs: DataFrame, ids: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, data): the sets of the given documents, one row each, as packed 64-bit values."""
-    rows = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("t"))
-    rows = rows.where("t is not null").join(ids, "id").groupBy("id").agg(F.min("t").alias("t"))
+def shingle_sets(docs: DataFrame, classes: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, data): the sets of the given classes, one row each, as packed 64-bit values."""
+    firsts = classes.select(F.col("id").alias("class"), "first.id", "first.tie")
+    rows = texts_by_id(docs, key, text).join(firsts, ["id", "tie"]).groupBy("id", "tie").agg(
+        F.first("class").alias("class"), F.min("text").alias("text"))
 
     def make():
         def work(ids, texts):
@@ -292,4 +418,4 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, key: str, text: str) -> DataFr
 
         return work
 
-    return map_rows(rows, ["id", "t"], "id bigint, data binary", make)
+    return map_rows(rows, ["class", "text"], "id bigint, data binary", make)

@@ -415,6 +415,48 @@ def test_minhash_against_all_pairs(spark, corpus, odd, empty):
     assert minhash.near_duplicates(empty).count() == 0
 
 
+def test_texts_of_one_id_are_compared_as_such(spark):
+    a = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, a), (2, a + " more"), (2, "something else altogether, in other words"),
+            (3, a.upper()), (3, None), (None, a)]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(str, ((r.doc_id, r.n_shingles, r.component_id, r.kept)
+                            for r in found.collect()))) == sorted(map(str, [
+        (1, 56, 1, True), (2, 57, 1, False), (2, 2, 2, True), (3, 56, 1, False), (3, 0, 3, True),
+        (None, 56, None, True)]))
+
+
+@pytest.mark.parametrize("gain", [0, 10**9])
+def test_a_large_group_of_near_copies(spark, monkeypatch, gain):
+    """A third of the rows are copies of one text at all distances, a third share a passage."""
+    rng = random.Random(12)
+
+    def words(n):
+        return [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+    base, passage, texts = words(80), words(40), []
+    for i in range(300):
+        if i % 3 == 0:
+            t = list(base)
+            for _ in range(rng.randint(0, 4)):
+                t[rng.randrange(len(t))] = words(1)[0]
+        else:
+            t = passage + words(rng.randint(6, 30)) if i % 3 == 1 else words(rng.randint(1, 60))
+        texts.append(t)
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} or {tuple(t)} for t in texts]
+    groups = Sets(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 100 * len(a & sets[j]) >= 75 * len(a | sets[j]):
+                groups.join(i, j)
+    monkeypatch.setattr(minhash, "LEAST_GAIN", gain)
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)],
+                               "doc_id long, text string")
+    found = rows_of(minhash.near_duplicates(df), "n_shingles", "component_id", "kept")
+    assert found == {
+        i: (len(s), groups.find(i), groups.find(i) == i) for i, s in enumerate(sets)}
+
+
 def test_packed_signatures_count_equal_fields(spark):
     rng = np.random.default_rng(9)
     least = rng.integers(0, 2**63, (2, minhash.HASHES), dtype=np.uint64)
