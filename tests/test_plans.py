@@ -213,3 +213,19 @@ def test_lookup_join_keeps_every_fact(spark):
     lookup = spark.createDataFrame([("a", "A")], "name string, label string")
     joined = lookup_join(facts, lookup, {"k": "name"})
     assert sorted(joined.collect(), key=lambda r: r.n) == [("a", 1, "A"), ("x", 2, None), (None, 3, None)]
+
+
+def test_targets_that_outgrow_a_broadcast_are_exchanged(spark, sf_dir):
+    """A part file of a few bytes a row gives ten rows of text each."""
+    def speeds(n):
+        return fixtures.raw_target_speeds(spark.range(n).withColumnRenamed("id", "p_partkey"))
+
+    def daily(n):
+        raw = RawTables(**dict(fixtures.raw_tables(spark, sf_dir).items()) | {
+            "raw_target_speeds": speeds(n)})
+        return build.compose(raw).int_daily_machine_product
+
+    few, many = daily(200), daily(fixtures.BROADCAST_PAIRS)
+    assert "BroadcastHashJoin" in plan(few) and "SortMergeJoin" not in plan(few)
+    assert "SortMergeJoin" in plan(many) and "Broadcast" not in plan(many)
+    assert rows_of(many) == rows_of(few)
