@@ -229,3 +229,32 @@ def test_targets_that_outgrow_a_broadcast_are_exchanged(spark, sf_dir):
     assert "BroadcastHashJoin" in plan(few) and "SortMergeJoin" not in plan(few)
     assert "SortMergeJoin" in plan(many) and "Broadcast" not in plan(many)
     assert rows_of(many) == rows_of(few)
+
+
+def scratch_tables(spark) -> set[str]:
+    from millwright import scratch
+
+    return {path.rsplit("/", 1)[1].rsplit("-", 1)[0] for path in scratch._WRITTEN}
+
+
+@pytest.mark.parametrize("tables", [fixtures.raw_tables, fixtures.line_tables])
+def test_reports_and_checks_write_only_what_they_read(spark, sf_dir, tables, monkeypatch):
+    from millwright import scratch
+
+    raw = tables(spark, sf_dir)
+    whole = build.build_scratch(raw, events_stored=True)
+    monkeypatch.setattr(scratch, "_WRITTEN", {})
+    reported = build.report_scratch(raw)
+    for key in ("kpi_oee", "speed_machine", "perf_gap", "stability"):
+        found = rows_of(reports.report(key, reported))
+        assert found == rows_of(reports.report(key, whole)), key
+    assert scratch_tables(spark) == {"mart_day_rollup"}
+    assert rows_of(reports.report("downtime_cat", reported)) == rows_of(
+        reports.report("downtime_cat", whole))
+    assert scratch_tables(spark) == {"mart_day_rollup", "mart_stop_rollup"}
+    monkeypatch.setattr(scratch, "_WRITTEN", {})
+    checked = build.check_scratch(raw)
+    assert rows_of(checks.run_suite(checked.tables())) == rows_of(checks.run_suite(whole.tables()))
+    assert scratch_tables(spark) == set(build.CHECKED)
+    for name in build.Models.NAMES:
+        assert "WindowGroupLimit" not in plan(getattr(checked, name)), name
