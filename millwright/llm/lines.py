@@ -7,9 +7,9 @@ holds at least one of them unchanged, at a place that can be off by few characte
 each line probes the segment index of every length it could match with those of its substrings
 that a match allows (multi-match-aware windows). Pairs that meet and differ in at most
 ``2 * MAX_EDITS`` letter parities, which no pair within the threshold exceeds, are verified: what both begin
-and end with is taken off, and the rest is compared by a banded bit-parallel edit distance, in
-which one machine word holds the vertical differences of the 2 * MAX_EDITS + 1 cells of the
-band.
+and end with is taken off. Of what is left, up to two edits are the first and the last place; for
+more, the rest is compared by a banded bit-parallel edit distance, in which one machine word
+holds the vertical differences of the 2 * MAX_EDITS + 1 cells of the band.
 
 Equal lines are one row from the start, with its number of copies and its first place, so a
 frequent line costs one row. Lines shorter than ``MIN_CHARS`` characters are not compared; with
@@ -89,7 +89,8 @@ def letter_parities(line: Column) -> Column:
     """Bit i: whether the line holds an odd number of letter i. An edit flips at most two."""
     bits = F.lit(0)
     for i, letter in enumerate(LETTERS):
-        found = F.char_length(line) - F.char_length(F.replace(line, F.lit(letter)))
+        # bytes, as the letters are ASCII: their number is known without reading the line
+        found = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter)))
         bits = bits + F.shiftleft(found.bitwiseAND(F.lit(1)), i)
     return bits
 
@@ -199,6 +200,21 @@ def banded_distance(a: Column, b: Column, edits: int) -> Column:
     return F.aggregate(columns, begun, step, lambda s: s["score"])
 
 
+def two_edits(x: Column, y: Column) -> Column:
+    """Whether two edits make x into y, which differ in their first and in their last place.
+
+    No alignment can begin or end with a match, so one edit is its first column and one its
+    last, and what lies between them is equal as it stands.
+    """
+    found = F.lit(False)
+    for a, b in ((1, 1), (1, 0), (0, 1)):  # places of x and y that the first edit takes
+        for c, d in ((1, 1), (1, 0), (0, 1)):  # and the last
+            n, m = F.char_length(x) - (a + c), F.char_length(y) - (b + d)
+            found = found | ((n >= 0) & (n == m) & (
+                F.substr(x, F.lit(a + 1), n) == F.substr(y, F.lit(b + 1), m)))
+    return found
+
+
 def within(pairs: DataFrame, edits: int) -> DataFrame:
     """The pairs (a, b) of lines ``x`` and ``y`` that are at most ``edits`` apart.
 
@@ -218,8 +234,7 @@ def within(pairs: DataFrame, edits: int) -> DataFrame:
         cut.withColumn("n", common_prefix(F.col("x"), F.col("y"), shorter)), "line-tails"
     )
     rest = ends.select(
-        "a", "b", F.split(F.expr("substr(x, n + 1)"), "").alias("x"),
-        F.split(F.expr("substr(y, n + 1)"), "").alias("y"),
+        "a", "b", F.expr("substr(x, n + 1)").alias("x"), F.expr("substr(y, n + 1)").alias("y"),
         (F.char_length("x") - F.col("n")).alias("nx"),
         (F.char_length("y") - F.col("n")).alias("ny"),
     )
@@ -229,7 +244,12 @@ def within(pairs: DataFrame, edits: int) -> DataFrame:
         F.least("nx", "ny") == 0, F.greatest("nx", "ny") <= edits
     ).when(
         (F.greatest("nx", "ny") > 1) & (F.lit(edits) < 2), F.lit(False)
-    ).otherwise(banded_distance(F.col("x"), F.col("y"), edits) <= edits)
+    )
+    if edits <= 2:
+        near = near.otherwise((F.greatest("nx", "ny") == 1) | two_edits(F.col("x"), F.col("y")))
+    else:
+        near = near.otherwise(
+            banded_distance(F.split("x", ""), F.split("y", ""), edits) <= edits)
     return rest.where(near).select("a", "b")
 
 
