@@ -36,6 +36,23 @@ def test_word_ids_that_forget_are_the_same(monkeypatch):
     assert [small.texts(texts(seed)) for seed in range(6)] == wanted
 
 
+def test_word_ids_are_those_of_each_word_alone():
+    source = open(vocabulary_path("word_bpe_49k.json"), encoding="utf-8").read()
+    words = ["a", "\x01", "x\x01y", "", "\u0301e", "e\u0301", "ΟΔΟΣ", "don't.", "\t", "a\u00a0b",
+             "\x02", "<|endoftext|>", "q<|", "#$%", "\u1e9b\u0323", "İ", "\u2028", "0x1F"] * 3
+    memory = packing.WordIds(source)
+    found = memory.texts([" ".join(words), " ".join(reversed(words))])
+    alone = [memory.tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+    flat = [i for ids in alone for i in ids], [i for ids in reversed(alone) for i in ids]
+    assert [list(memoryview(f).cast("I")) for f in found] == list(flat)
+    assert list(flat[0]) == memory.tokenizer.encode(" ".join(words), add_special_tokens=False).ids
+
+
+def test_a_packing_worker_remembers_little():
+    """Two generations of words in each of an executor's workers, beside the JVM's heap."""
+    assert 2 * packing.CACHED_WORDS <= 500_000
+
+
 @pytest.mark.parametrize("limit", [1, 7, 10**6])
 def test_slices_hold_all_rows_in_order(limit):
     rows = [None, "", "a", "bb" * 9, None, "é" * 3, "", "c" * 40]
