@@ -5,8 +5,10 @@ longer has ``LONG_CHARS`` characters or more. A line is cut into
 ``MAX_EDITS + 1`` segments of even length. A longer or equally long line within the threshold
 holds at least one of them unchanged, at a place that can be off by few characters only; so
 each line probes the segment index of every length it could match with those of its substrings
-that a match allows (multi-match-aware windows). Pairs that meet and differ in at most
-``2 * MAX_EDITS`` letter parities, which no pair within the threshold exceeds, are verified: what both begin
+that a match allows (multi-match-aware windows). Where many lines have a segment in common, as
+near copies of one text do, they meet by finer segments instead, of which all but one for each
+edit must agree. Pairs that meet and differ in at most ``2 * MAX_EDITS`` letter parities, which no
+pair within the threshold exceeds, are verified: what both begin
 and end with is taken off. Of what is left, up to two edits are the first and the last place; for
 more, the rest is compared by a banded bit-parallel edit distance, in which one machine word
 holds the vertical differences of the 2 * MAX_EDITS + 1 cells of the band.
@@ -20,6 +22,8 @@ among rows with one id by a hash of the text, then by row.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +33,9 @@ from millwright.scratch import drop, store
 MAX_EDITS = 1
 MIN_CHARS = 20
 LONG_EDITS, LONG_CHARS = 2, 200
+CROWD = 4  # lines with a segment in common, above which finer segments are compared
+CROWDED = -1  # in place of their ids, which begin with 0
+FINE_PARTS = {1: 16, 2: 12}  # segments by edits
 LETTERS = "etaoinsrhldcumfpgwyb"
 FILTER_WORDS = 1 << 16  # of 64 bits each: the fixed size of the filter on line ids
 
@@ -67,7 +74,7 @@ def distinct_lines(
         .select(
             F.monotonically_increasing_id().alias("id"), "line", "n_copies",
             *[F.col(f"first.{c}").alias(c) for c in PLACE],
-            F.char_length("line").alias("n"), letter_parities(F.col("line")).alias("parities"),
+            F.char_length("line").alias("n"),
         )
     )
 
@@ -80,9 +87,45 @@ def segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
     return size * i + before, size + (F.lit(i) >= F.lit(parts) - longer).cast("int")
 
 
-def segment_key(line: Column, length: Column, i: int, begin: Column, size: Column) -> Column:
-    """Hash of length, segment number and characters; equal text is confirmed later."""
-    return F.xxhash64(length, F.lit(i), F.substring(line, begin + 1, size))
+def alignments(edits: int, parts: int, shorter: int) -> list[tuple[int, list]]:
+    """(choice, runs): what is left of a line of ``parts`` segments without ``edits`` of them.
+
+    A run is (first segment, segment behind the last, shift): where it may begin in a line
+    ``shorter`` characters longer. Segments without an edit of their own are left out beside
+    those with several, so a gap changes the shift by no more than the segments it misses.
+    """
+    found = []
+    for choice, gone in enumerate(combinations(range(parts), edits)):
+        edges = [-1, *gone, parts]
+        runs, missed = [], 0  # (first, behind the last, segments missed before it)
+        for i, (left, right) in enumerate(zip(edges, edges[1:])):
+            if right - left > 1:
+                runs.append((left + 1, right, i - missed))
+                missed = i
+        after = edits - missed
+
+        def shifts(at: int, shift: int, taken: list) -> None:
+            if at == len(runs):
+                if abs(shorter - shift) <= after:
+                    found.append((choice, taken))
+                return
+            first, behind, gap = runs[at]
+            for step in range(-gap, gap + 1):
+                shifts(at + 1, shift + step, [*taken, (first, behind, shift + step)])
+
+        shifts(0, 0, [])
+    return found
+
+
+def segment_key(shorter: int, choice: int, runs: list) -> Column:
+    """Hash of length, choice and characters; equal text is confirmed later."""
+    cut, inside = [], F.lit(True)
+    for first, behind, shift in runs:
+        begin, end = F.col(f"begin_{shorter}_{first}"), F.col(f"begin_{shorter}_{behind}")
+        cut.append(F.substring(F.col("chars"), (begin + shift) * 4 + 1, (end - begin) * 4))
+        if shift:
+            inside = inside & (begin + shift >= 0) & (end + shift <= F.col("n"))
+    return F.when(inside, F.xxhash64(F.col("n") - shorter, F.lit(choice), *cut))
 
 
 def letter_parities(line: Column) -> Column:
@@ -95,29 +138,55 @@ def letter_parities(line: Column) -> Column:
     return bits
 
 
-def index_rows(lines: DataFrame, edits: int) -> DataFrame:
-    keys = []
-    for i in range(edits + 1):
-        begin, size = segment(F.col("n"), i, edits + 1)
-        keys.append(segment_key(F.col("line"), F.col("n"), i, begin, size))
-    return lines.select("id", "parities", F.explode(F.array(*keys)).alias("k"))
+def key_rows(lines: DataFrame, keys: list[Column], parts: int, shorter: int) -> DataFrame:
+    """(id, k). Characters have four bytes each, so that a substring is found without reading
+    what comes before it."""
+    begins = [
+        segment(F.col("n") - less, i, parts)[0].alias(f"begin_{less}_{i}")
+        for less in range(shorter + 1) for i in range(parts + 1)]
+    cut = lines.select("id", "n", F.encode("line", "UTF-32").alias("chars"), *begins)
+    return cut.select("id", F.explode(F.array(*keys)).alias("k")).where("k is not null")
 
 
-def probe_rows(lines: DataFrame, edits: int) -> DataFrame:
-    """Substrings that may equal a segment of a line at most ``edits`` shorter."""
-    keys = []
-    for shorter in range(edits + 1):
-        length = F.col("n") - shorter
-        for i in range(edits + 1):
-            begin, size = segment(length, i, edits + 1)
-            low, high = max(-i, shorter - (edits - i)), min(i, shorter + (edits - i))
-            for shift in range(low, high + 1):
-                at = begin + shift
-                inside = (at >= 0) & (at + size <= F.col("n"))
-                keys.append(F.when(inside, segment_key(F.col("line"), length, i, at, size)))
-    return lines.select(
-        "id", "parities", F.explode(F.array_distinct(F.array(*keys))).alias("k")
-    ).where("k is not null")
+def index_rows(lines: DataFrame, edits: int, parts: int) -> DataFrame:
+    straight = {c: [(a, b, 0) for a, b, _ in runs] for c, runs in alignments(edits, parts, 0)}
+    keys = [segment_key(0, choice, runs) for choice, runs in straight.items()]
+    return key_rows(lines, keys, parts, 0)
+
+
+def probe_rows(lines: DataFrame, edits: int, parts: int) -> DataFrame:
+    """Substrings that may equal the segments of a line at most ``edits`` shorter."""
+    keys = [
+        segment_key(shorter, choice, runs)
+        for shorter in range(edits + 1) for choice, runs in alignments(edits, parts, shorter)]
+    return key_rows(lines, keys, parts, edits)
+
+
+def fine_rows(lines: DataFrame, edits: int, parts: int, shorter: int) -> DataFrame:
+    """(id, parities, k) by choices of ``parts`` segments, which are too many to write out.
+
+    Each is a row of a constant table: how much shorter, the choice, and its runs, filled up
+    with empty ones.
+    """
+    table = set()
+    for less in range(shorter + 1):
+        for choice, runs in alignments(edits, parts, less):
+            if shorter or not any(shift for _, _, shift in runs):
+                runs = [*runs, *[(0, 0, 0)] * (edits + 1 - len(runs))]
+                table.add((less, choice, *[x for run in runs for x in run]))
+    ways = "array(" + ", ".join(f"array({', '.join(map(str, t))})" for t in sorted(table)) + ")"
+    cut = lines.select(
+        "id", "n", letter_parities(F.col("line")).alias("parities"),
+        F.encode("line", "UTF-32").alias("chars"),
+    ).select("id", "n", "parities", "chars", F.explode(F.expr(ways)).alias("way"))
+    way, length = F.col("way"), F.col("n") - F.col("way")[0]
+    found, inside = [], F.lit(True)
+    for at in range(2, 2 + 3 * (edits + 1), 3):
+        begin, end = (segment(length, way[at + i], parts)[0] for i in (0, 1))
+        shift = way[at + 2]
+        found.append(F.substring(F.col("chars"), (begin + shift) * 4 + 1, (end - begin) * 4))
+        inside = inside & (begin + shift >= 0) & (end + shift <= F.col("n"))
+    return cut.where(inside).select("id", "parities", F.xxhash64(length, way[1], *found).alias("k"))
 
 
 def common_prefix(a: Column, b: Column, limit: Column) -> Column:
@@ -270,28 +339,67 @@ def perhaps_in(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return kept.where(F.expr("shiftrightunsigned(bits, place) & 1 = 1")).select(*rows.columns)
 
 
+def meeting(x: DataFrame, y: DataFrame, *more: Column) -> DataFrame:
+    """(a, b): a line of ``x`` and another one of ``y`` with one key."""
+    condition = (F.col("x.k") == F.col("y.k")) & (F.col("x.id") != F.col("y.id"))
+    for c in more:
+        condition = condition & c
+    return x.alias("x").join(y.alias("y"), condition).select(
+        F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+
+
+def candidates(lines: DataFrame, edits: int, longer: int) -> DataFrame:
+    """(a, b), with repetitions, of all lines that may be within ``edits``.
+
+    Where more than ``CROWD`` lines have a segment, one row stands for them; lines that meet it
+    are compared by finer segments, most of which must agree.
+    """
+    x = probe_rows(lines.where(F.col("n") >= longer), edits, edits + 1)
+    y = index_rows(lines, edits, edits + 1)
+    crowded = store(y.groupBy("k").count().where(F.col("count") > CROWD).select("k"), "crowded")
+    if crowded.isEmpty():
+        return meeting(x, y)
+    one = crowded.select(F.lit(CROWDED).alias("id"), "k")
+    met = store(
+        meeting(x, y.join(crowded, "k", "left_anti").select("id", "k").unionByName(one)),
+        "line-meetings",
+    )
+    ids = met.where(F.col("b") == CROWDED).select(F.col("a").alias("id"))
+    if longer:  # lines that are looked for only
+        short = index_rows(lines.where(F.col("n") < longer), edits, edits + 1)
+        ids = ids.unionByName(short.join(crowded, "k", "left_semi").select("id"))
+    ids = ids.distinct()
+    few = store(
+        perhaps_in(lines.select("id", "n", "line"), ids).join(ids, "id", "left_semi"),
+        "line-crowds",
+    )
+    parts = FINE_PARTS.get(edits, edits + 2)
+    finer = meeting(
+        fine_rows(few.where(F.col("n") >= longer), edits, parts, edits),
+        fine_rows(few, edits, parts, 0),
+        F.bit_count(F.col("x.parities").bitwiseXOR(F.col("y.parities"))) <= 2 * edits,
+    )
+    return met.where(F.col("b") != CROWDED).unionByName(finer)
+
+
 def linked_pairs(lines: DataFrame, edits: int, longer: int = 0) -> DataFrame:
     """(a, b): pairs within ``edits`` whose longer line has at least ``longer`` characters."""
-    x = probe_rows(lines.where(F.col("n") >= longer), edits).alias("x")
-    y = index_rows(lines, edits).alias("y")
     pairs = store(
-        x.join(
-            y,
-            (F.col("x.k") == F.col("y.k")) & (F.col("x.id") != F.col("y.id"))
-            & (F.bit_count(F.col("x.parities").bitwiseXOR(F.col("y.parities"))) <= 2 * edits),
-        ).select(
-            F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")
-        ).distinct(),
+        candidates(lines, edits, longer).select(
+            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
         "line-pairs",
     )
     involved = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = store(
-        perhaps_in(lines.select("id", "line"), involved).join(involved, "id", "left_semi"),
+        perhaps_in(lines.select("id", "line"), involved).join(involved, "id", "left_semi")
+        .withColumn("parities", letter_parities(F.col("line"))),
         "line-texts",
     )
-    with_text = pairs.join(
-        texts.select(F.col("id").alias("a"), F.col("line").alias("x")), "a"
-    ).join(texts.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
+    ends = [texts.select(F.col("id").alias(end), F.col("parities").alias(f"parities_{end}"),
+                         F.col("line").alias(line)) for end, line in (("a", "x"), ("b", "y"))]
+    with_text = pairs.join(ends[0], "a").join(ends[1], "b").where(
+        F.bit_count(F.expr("parities_a ^ parities_b")) <= 2 * edits
+    ).select("a", "b", "x", "y")
     links = store(within(with_text, edits), "line-links")
     drop(pairs, texts)
     return links

@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 from hashlib import sha256
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers
@@ -262,6 +263,30 @@ def test_lines_against_all_pairs(spark, edits):
         assert left.get(i, "") == "\n".join(stays)
 
 
+@pytest.mark.parametrize("edits, size", [(1, 60), (2, 230)])
+def test_crowds_of_lines_lose_no_link_and_meet_by_finer_segments(spark, edits, size):
+    rng = random.Random(size)
+    base = [rng.choice("abcdefgé ") for _ in range(size)]
+    pool = set()
+    for many in [1, 2] * 15 + [6] * 60:
+        x = list(base)
+        for _ in range(many):
+            p = rng.randrange(len(x))
+            x[p : p + 1] = rng.choice(["", "z", x[p] + "y"])
+        pool.add("".join(x))
+    assert len(pool) > lines.CROWD
+    links = Counter()
+    for x, y in combinations(sorted(pool), 2):
+        if edit_distance(x, y) <= edits:
+            links.update((x, y))
+    df = spark.createDataFrame(list(enumerate(sorted(pool))), "doc_id long, text string")
+    assert {r.line: r.n_links for r in lines.near_lines(df).collect()} == {
+        x: links[x] for x in pool}
+    rows = lines.distinct_lines(df, "doc_id", "text", 20, False).localCheckpoint()
+    met = {frozenset(r) for r in lines.candidates(rows, edits, 0).collect()}
+    assert len(met) < len(pool) * (len(pool) - 1) / 6
+
+
 def test_lines_on_odd_rows(odd, empty):
     assert lines.near_lines(odd).count() == 4
     assert lines.near_lines(empty).count() == lines.keep_first(empty).count() == 0
