@@ -33,9 +33,9 @@ from millwright.scratch import drop, store
 MAX_EDITS = 1
 MIN_CHARS = 20
 LONG_EDITS, LONG_CHARS = 2, 200
-CROWD = 4  # lines with a segment in common, above which finer segments are compared
+CROWD = 6  # lines with a segment in common, above which finer segments are compared
 CROWDED = -1  # in place of their ids, which begin with 0
-FINE_PARTS = {1: 16, 2: 12}  # segments by edits
+FINE_PARTS = {1: 8, 2: 6}  # segments by edits
 LETTERS = "etaoinsrhldcumfpgwyb"
 FILTER_WORDS = 1 << 16  # of 64 bits each: the fixed size of the filter on line ids
 
