@@ -5,13 +5,16 @@ from __future__ import annotations
 import datetime as dt
 import random
 import statistics
+import time
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
-from millwright import fixtures
+from millwright import fixtures, scratch
 from millwright.functions.calendar import year_month
 from millwright.plans import build, reports, rollup
+from rows import CC, RUN, START, event, raw_tables
 
 
 @pytest.fixture(scope="module")
@@ -81,3 +84,54 @@ def test_undated_rows_and_empty_rollups(spark, plant):
     assert (row.m, row.d) == (None, None)
     late = reports.Filters((dt.date(2100, 1, 1), dt.date(2100, 1, 2)))
     assert reports.report("kpi_oee", plant, late).first().oee_pct is None
+
+
+def shuffle_files(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager()
+    files = blocks.diskBlockManager().getAllFiles()
+    names = [files.apply(i).getName() for i in range(files.size())]
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def writes(stored):
+    return len({f.split("/part-")[1].split("-", 1)[1] for f in stored.inputFiles()})
+
+
+def test_sliced_rollups_hold_every_row_once(spark, tmp_path, monkeypatch):
+    rng = random.Random(8)
+    names = ["M1", " M1", "M2", "M3 ", None]
+    events = [
+        event(rng.choice([RUN, CC, None]), rng.choice([5, 2000, None]), rng.randint(0, 9), 3,
+              machine=rng.choice(names), product=rng.choice(["P1", "P2 ", None]),
+              start=START + dt.timedelta(hours=rng.randint(0, 60)), end=START)
+        for _ in range(300)
+    ]
+    raw = raw_tables(spark, events, [("M1 ", "P1", 60), ("M2", "P2", 80)], ["P1", "P1", "P2"],
+                     ["M1", "M2", "M2", "M3"])
+    raw.raw_fact.write.parquet(f"{tmp_path}/fact")
+    raw = replace(raw, raw_fact=spark.read.schema(raw.raw_fact.schema).parquet(f"{tmp_path}/fact"))
+    assert build.slices_of(raw.raw_fact) == 1
+    whole = build.report_scratch(raw)
+    size = sum(f.stat().st_size for f in (tmp_path / "fact").glob("*.parquet"))
+    monkeypatch.setattr(build, "SLICE_BYTES", size / 3.5)
+    assert build.slices_of(raw.raw_fact) == 4
+    assert sum(build.pair_slice(raw, i, 4).raw_fact.count() for i in range(4)) == len(events)
+    sliced = build.report_scratch(raw)
+    for name in build.Models.ROLLUPS:
+        expected = sorted(map(repr, getattr(whole, name).collect()))
+        assert expected and sorted(map(repr, getattr(sliced, name).collect())) == expected
+        assert [writes(getattr(kind, name)) for kind in (whole, sliced)] == [1, 4]
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    setting = spark.conf.get(scratch.SHUFFLE_CLEANUP, None)
+    held = spark.range(1000).groupBy(F.col("id") % 7).count()
+    held.collect()
+    before = shuffle_files(spark)
+    stored = scratch.store(held.withColumn("n", F.lit(1)), "left")
+    for _ in range(100):
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    assert stored.count() == 7 and spark.conf.get(scratch.SHUFFLE_CLEANUP, None) == setting
