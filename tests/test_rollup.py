@@ -111,7 +111,7 @@ def test_sliced_rollups_hold_every_row_once(spark, tmp_path, monkeypatch):
     raw.raw_fact.write.parquet(f"{tmp_path}/fact")
     raw = replace(raw, raw_fact=spark.read.schema(raw.raw_fact.schema).parquet(f"{tmp_path}/fact"))
     assert build.slices_of(raw.raw_fact) == 1
-    whole = build.report_scratch(raw)
+    whole = build.report_scratch(raw).built()
     size = sum(f.stat().st_size for f in (tmp_path / "fact").glob("*.parquet"))
     monkeypatch.setattr(build, "SLICE_BYTES", size / 3.5)
     assert build.slices_of(raw.raw_fact) == 4
