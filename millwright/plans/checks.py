@@ -229,15 +229,18 @@ def _findings(table: str, df: DataFrame, checks: Sequence[Check]) -> DataFrame |
     both = [(f, True) for f in found] + [(a, False) for a in asked]
     if not both:
         return None
-    entries = F.array_compact(F.array(*[
+    entries = F.array(*[
         F.when(entry.isNotNull(), F.struct(
             entry.getField("check").alias("check"), entry.getField("key").alias("key"),
             F.lit(int(child)).cast("bigint").alias("child"),
             F.lit(not child).alias("parent"),
         ))
         for entry, child in both
-    ]))
-    return df.select(F.inline(entries))
+    ])
+    # rows with nothing to say, most rows of a table without keys, build no array; the rows of
+    # NULLs that other entries become are dropped by compiled code, array_compact is not compiled
+    saying = reduce(lambda a, b: a | b, [entry.isNotNull() for entry, _ in both])
+    return df.filter(saying).select(F.inline(entries)).filter(F.col("check").isNotNull())
 
 
 def run_suite(

@@ -261,3 +261,12 @@ def test_reports_and_checks_write_only_what_they_read(spark, sf_dir, tables, twi
     assert scratch_tables(spark) == set(build.CHECKED)
     for name in build.Models.NAMES:
         assert "WindowGroupLimit" not in plan(getattr(checked, name)), name
+
+
+def test_findings_are_compiled_and_events_hashed_after_their_lookups(spark, raw):
+    text = plan(checks.run_suite(build.check_scratch(raw).tables()))
+    assert "lambda" not in text
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        text = plan(build.compose(raw).fact_machine_events)
+    joins = [m.start() for m in re.finditer("SortMergeJoin", text)]
+    assert len(joins) == 2 and text.index("AS event_id") < joins[0]
