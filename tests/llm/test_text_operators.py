@@ -714,3 +714,98 @@ def test_seats_follow_the_restaurant(n, new):
     assert drawn.mean() == pytest.approx(np.mean([one_by_one() for _ in range(20000)]), rel=0.02)
     again = language.seat(np.full(20000, n), np.full(20000, new), discount, keys, 1)
     assert (drawn == again).all()
+
+
+def chains(seed, docs, size):
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(12)]
+    return [(i, " ".join(rng.choice(words[: rng.randint(2, 12)]) for _ in range(rng.randint(0, size))))
+            for i in range(docs)]
+
+
+def test_scores_equal_a_plain_hierarchy_of_two_words_one_word_and_none(spark):
+    d, s = language.DISCOUNT, language.STRENGTH
+    rows = chains(5, 60, 25)
+    events, texts = Counter(), {}
+    for i, t in rows:
+        words = [language.BEGIN, language.BEGIN, *(w.encode() for w in t.split()), language.END]
+        texts[i] = list(zip(words, words[1:], words[2:]))
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            events.update(texts[i])
+
+    def key(*words):
+        first, *rest = [np.array([language.fingerprint(w)], np.uint64) for w in words]
+        for h in rest:
+            first = language.pair_keys(first, h)
+        return first
+
+    def seats(n, new, words, sweep):
+        return int(language.seat([n], np.array([new]), d, key(*words), sweep)[0])
+
+    def grouped(tables, part):
+        out = Counter()
+        for event, t in tables.items():
+            out[part(event)] += t
+        return out
+
+    class State:
+        def __init__(self, triples, last=None, sweep=0):
+            self.triples = triples
+            self.pairs = grouped(triples, lambda e: e[1:])  # customers
+            if last is None:
+                self.seats = {e: 1 for e in self.pairs}
+            else:
+                self.seats = {
+                    (v, w): seats(n, (s + d * last.tables[v]) * last.none(w), (v, w), sweep)
+                    for (v, w), n in self.pairs.items()}
+            self.above = grouped(triples, lambda e: e[:2])
+            self.tables = grouped(self.seats, lambda e: e[0])
+            self.of = grouped(self.pairs, lambda e: e[0])
+            self.words = grouped(self.seats, lambda e: e[1])
+
+        def none(self, w):
+            return language.parent_probability(
+                np.array([self.words[w]]), sum(self.words.values()), len(self.words))[0]
+
+        def one(self, v, w):
+            own = self.pairs[v, w] - d * self.seats.get((v, w), 0)
+            return (own + (s + d * self.tables[v]) * self.none(w)) / (s + self.of[v])
+
+        def two(self, u, v, w):
+            own = events[u, v, w] - d * self.triples.get((u, v, w), 0)
+            return (own + (s + d * self.above[u, v]) * self.one(v, w)) / (s + contexts[u, v])
+
+    contexts = grouped(events, lambda e: e[:2])
+    state, kept = State({e: 1 for e in events}), []
+    for sweep in range(1, language.BURN_IN + language.SWEEPS + 1):
+        triples = {
+            e: seats(n, (s + d * state.above[e[:2]]) * state.one(*e[1:]), e, sweep)
+            for e, n in events.items()}
+        state = State(triples, state, sweep)
+        if sweep > language.BURN_IN:
+            kept.append(state)
+    assert max(kept[-1].triples.values()) > 1 and max(kept[-1].seats.values()) > 1
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in language.score(df).collect():
+        p = [np.mean([k.two(*e) for k in kept]) for e in texts[r.doc_id]]
+        assert r.score == pytest.approx(np.log10(p).sum())
+    words = {w for _, _, w in events}
+    for u, v, _ in random.Random(6).sample(sorted(events), 20):
+        unknown = kept[0].two(u, v, b"unknown")
+        assert sum(kept[0].two(u, v, w) for w in words) + unknown == pytest.approx(1)
+
+
+def test_the_word_before_the_last_tells_what_follows(spark):
+    rows = [(i, text) for i, text in enumerate(["a x p", "b x q"] * 40)]
+    rows += [(1000 + i, text) for i, text in enumerate(["a x p", "a x q"])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.score for r in language.score(df).collect()}
+    assert found[1000] > found[1001] + 0.5
+
+
+def test_equal_rows_are_dealt_to_several_groups(spark):
+    df = spark.createDataFrame([(7, "one two three")] * 200, "doc_id long, text string")
+    packed, parts = language.dealt(df, "doc_id", "text")
+    sizes = [r["count"] for r in packed.groupBy("part").count().collect()]
+    assert sum(sizes) == 200 and len(sizes) == parts > 1
+    assert language.score(df).count() == 200
